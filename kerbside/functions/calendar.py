@@ -29,5 +29,6 @@ def in_month(column: Column, month: str) -> Column:
 
 
 def month_of(column: Column) -> Column:
-    """'YYYY-MM' text of a date column."""
-    return F.date_format(column, "yyyy-MM")
+    """'YYYY-MM' text of a date column, without the cost of a pattern formatter."""
+    return F.concat(F.lpad(F.year(column).cast("string"), 4, "0"), F.lit("-"),
+                    F.lpad(F.month(column).cast("string"), 2, "0"))

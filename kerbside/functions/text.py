@@ -26,9 +26,15 @@ def na_to_null(column: Column) -> Column:
 
 def clean_text(column: Column) -> Column:
     """Drop every double quote, then strip blanks from both ends."""
-    return F.btrim(F.translate(column, '"', ""), F.lit(BLANKS))
+    return F.btrim(F.replace(column, F.lit('"'), F.lit("")), F.lit(BLANKS))
 
 
 def to_number(column: Column) -> Column:
     """Double, or null where the text is no number."""
     return column.try_cast("double")
+
+
+def to_date(column: Column) -> Column:
+    """Date, or null where the text is no YYYY-MM-DD date."""
+    dashed = (F.char_length(column) == 10) & (F.substring(column, 5, 1) == "-") & (F.substring(column, 8, 1) == "-")
+    return F.when(dashed, column.try_cast("date"))

@@ -218,8 +218,8 @@ DESCRIBED = [("vehicle_type_id", "vehicle_type_id"), ("pickup_location_id", "pic
 def _described(name: str, value: str) -> str:
     v = f"cast({value} as double)"
     return (f"select '{name}' as column_name, count({v}) as count, round(avg({v}), 6) as mean, "
-            f"round(stddev_samp({v}), 6) as std, min({v}) as min, quantile_cont({v}, 0.25) as q25, "
-            f"quantile_cont({v}, 0.5) as q50, quantile_cont({v}, 0.75) as q75, max({v}) as max from silver_booking")
+            f"round(stddev_samp({v}), 6) as std, min({v}) as min, round(quantile_cont({v}, 0.25), 6) as q25, "
+            f"round(quantile_cont({v}, 0.5), 6) as q50, round(quantile_cont({v}, 0.75), 6) as q75, max({v}) as max from silver_booking")
 
 
 def _profiled(name: str, kind: str) -> str:

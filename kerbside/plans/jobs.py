@@ -48,7 +48,7 @@ def bronze_load(warehouse: Warehouse, prepared: DataFrame, *, month: str | None
 
     if mode not in ("replace", "append", "add_new"):
         raise ValueError(f"unknown mode: {mode}")
-    return together({f"bronze.{name}": partial(write, name) for name in EXTRACTS})
+    return together(warehouse.spark, {f"bronze.{name}": partial(write, name) for name in EXTRACTS})
 
 
 def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
@@ -64,7 +64,7 @@ def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
 
     dimensions = {"customer": lambda: silver.customer(bronze("booking"))}
     dimensions |= {name: partial(lambda n: silver.dimension(n, bronze(n)), name) for name in silver.NAMED_DIMENSIONS}
-    counts = together({f"silver.{t}": partial(write, t, build) for t, build in dimensions.items()})
+    counts = together(warehouse.spark, {f"silver.{t}": partial(write, t, build) for t, build in dimensions.items()})
 
     named = {name: warehouse.read("silver", name) for name in silver.NAMED_DIMENSIONS}
     facts = {
@@ -73,7 +73,8 @@ def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
         "cancelled_ride": lambda: silver.cancelled_ride(bronze("cancelled_ride")),
         "incompleted_ride": lambda: silver.incompleted_ride(bronze("incompleted_ride")),
     }
-    return counts | together({f"silver.{t}": partial(write, t, build) for t, build in facts.items()})
+    return counts | together(
+        warehouse.spark, {f"silver.{t}": partial(write, t, build) for t, build in facts.items()})
 
 
 def gold_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None, target_date: date | None = None) -> Counts:
@@ -91,7 +92,7 @@ def gold_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None, target
     def write(table: str) -> int:
         return warehouse.overwrite(audit(builds[table](), run_ts), "gold", table)
 
-    return together({f"gold.{table}": partial(write, table) for table in builds})
+    return together(warehouse.spark, {f"gold.{table}": partial(write, table) for table in builds})
 
 
 def load_tidied(warehouse: Warehouse, tidied: DataFrame, extraction_date: date | None, *, label: str,

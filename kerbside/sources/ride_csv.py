@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions.calendar import in_month, month_key, month_of
-from kerbside.functions.text import clean_text, na_to_null, to_number
+from kerbside.functions.text import clean_text, na_to_null, to_date, to_number
+from kerbside.operators.spread import spread
 from kerbside.schemas import OPTIONAL_SOURCE_COLUMNS, SOURCE_COLUMNS
 
 ORDER_PREFIX = "_ord_"
-DATE_FORMAT = "yyyy-MM-dd"
 DATE_TEXT = "_date_text"
 CSV_OPTIONS = {"header": "true", "escape": '"', "enforceSchema": "false"}
 
@@ -46,7 +46,7 @@ def with_file_order(scan: DataFrame) -> DataFrame:
 
 def read_raw(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """All columns as text, header names trimmed, doubled quotes decoded."""
-    return with_file_order(spark.read.options(**CSV_OPTIONS).csv(path))
+    return spread(with_file_order(spark.read.options(**CSV_OPTIONS).csv(path)))
 
 
 def tidy(raw: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def tidy(raw: DataFrame) -> DataFrame:
             continue
         text = clean_text(na_to_null(F.col(f"`{header}`")))
         if kind == "date":
-            columns.append(F.try_to_date(text, DATE_FORMAT).alias(name))
+            columns.append(to_date(text).alias(name))
             columns.append(text.alias(DATE_TEXT))
         else:
             columns.append((to_number(text) if kind == "double" else text).alias(name))
@@ -93,9 +93,10 @@ def stamp(tidied: DataFrame, extraction_date: date | None, *, no_date_filter: bo
         if on_bad_date == "fail":
             message = F.concat(F.lit("not a date: "), F.col(DATE_TEXT))
             rows = rows.withColumn("date", F.when(bad, F.raise_error(message).cast("date")).otherwise(F.col("date")))
-        else:
+        elif extraction_date is not None and no_date_filter:
             rows = rows.where(~bad)
         rows = rows.drop(DATE_TEXT)
+    # The other filters below drop rows without a date by themselves.
     if extraction_date is None:
         rows = rows.where(F.col("date").isNotNull())
         day, month = F.trunc("date", "month"), month_of(F.col("date"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.calendar import month_start, next_month_start
+from kerbside.operators.spread import spread
 from kerbside.schemas import SOURCE_COLUMNS
 from kerbside.sources.ride_csv import ORDER_PREFIX
 
@@ -72,6 +73,9 @@ def joined_lines(spark: SparkSession, sf_dir: str, month: str | None = None) ->
     if month:
         first, end = (F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in (month_start(month), next_month_start(month)))
         lines = lines.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < end))
+    lines = spread(lines.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
     nations = table("nation").select("n_nationkey", "n_name")
     buyers = table("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "c_mktsegment", F.col("n_name").alias("customer_nation"))

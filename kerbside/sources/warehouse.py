@@ -37,10 +37,10 @@ def audit(df: DataFrame, run_ts: datetime) -> DataFrame:
     return df.withColumns({c: stamp for c in AUDIT_COLUMNS})
 
 
-def together(work: Mapping[str, Callable[[], int]], at_once: int = 4) -> dict[str, int]:
+def together(spark: SparkSession, work: Mapping[str, Callable[[], int]], at_once: int = 4) -> dict[str, int]:
     """Submit independent writes side by side, so one job's tail does not idle the cluster."""
     with ThreadPoolExecutor(at_once) as pool:
-        running = {name: pool.submit(inheritable_thread_target(task)) for name, task in work.items()}
+        running = {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in work.items()}
         return {name: future.result() for name, future in running.items()}
 
 
