@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.money import money_sum, ratio
+from kerbside.functions.nulls import all_present
 
 ALL_MONTHS = "All"
 log = logging.getLogger(__name__)
@@ -72,7 +73,7 @@ def recalc_daily_summary(bronze_booking: DataFrame, month: str) -> DataFrame:
     """
     keys = ["date", "vehicle_type", "booking_status"]
     return (
-        filter_direct(bronze_booking, month).dropna(subset=keys).groupBy(*keys)
+        filter_direct(bronze_booking, month).where(all_present(*keys)).groupBy(*keys)
         .agg(F.count("booking_id").alias("total_bookings"), money_sum(F.col("booking_value")).alias("total_revenue"))
         .select("date", F.col("vehicle_type").alias("vehicle_type_name"),
                 F.col("booking_status").alias("booking_status_name"), "total_bookings", "total_revenue",

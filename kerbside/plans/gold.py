@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.money import money_avg, money_sum
+from kerbside.functions.nulls import all_present
 
 MONTH = "extraction_month"
 
@@ -24,7 +25,7 @@ def daily_booking_summary(booking: DataFrame, vehicle_type: DataFrame, booking_s
     keys = ["date", "vehicle_type_id", "booking_status_id", *month]
     rows = booking if target_date is None else booking.where(F.col("date") == F.lit(target_date))
     by_id = (
-        rows.dropna(subset=keys).groupBy(*keys)
+        rows.where(all_present(*keys)).groupBy(*keys)
         .agg(F.count("booking_id").alias("total_bookings"),
              money_sum(F.col("booking_value")).alias("total_revenue"),
              money_avg(F.col("booking_value")).alias("avg_booking_value"))
@@ -40,7 +41,7 @@ def customer_analytics(customer: DataFrame, booking: DataFrame, *, by_month: boo
     """Spend, booking dates and lifetime in days per customer (and month)."""
     month = [MONTH] if by_month else []
     stats = (
-        booking.dropna(subset=["customer_id", *month]).groupBy("customer_id", *month)
+        booking.where(all_present("customer_id", *month)).groupBy("customer_id", *month)
         .agg(F.count("booking_id").alias("total_bookings"),
              money_sum(F.col("booking_value")).alias("total_spent"),
              money_avg(F.col("booking_value")).alias("avg_booking_value"),
@@ -72,7 +73,7 @@ def location_analytics(booking: DataFrame, location: DataFrame, *, by_month: boo
                  F.lit(None).cast("double").alias("pickup_value")))
     activity = (
         booking.select("booking_id", *month, F.inline(ends))
-        .dropna(subset=["location_id", *month]).groupBy("location_id", *month)
+        .where(all_present("location_id", *month)).groupBy("location_id", *month)
         .agg(F.count(F.when(F.col("is_pickup"), F.lit(1))).alias("pickup_rows"),
              F.count(F.when(F.col("is_pickup"), F.col("booking_id"))).alias("pickups"),
              F.count(F.when(~F.col("is_pickup"), F.col("booking_id"))).alias("dropoffs"),

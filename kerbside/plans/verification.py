@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.calendar import in_month
 from kerbside.functions.money import money_sum, ratio
+from kerbside.functions.nulls import all_present
 from kerbside.plans.dashboard import top
 from kerbside.sources.warehouse import Warehouse
 
@@ -46,7 +47,7 @@ def month_totals(daily_summary: DataFrame, month: str) -> DataFrame:
 
 def top_vehicle_revenue(daily_summary: DataFrame, month: str, k: int = 5) -> DataFrame:
     by_vehicle = (
-        daily_summary.where(in_month(F.col("date"), month)).dropna(subset=["vehicle_type_name"])
+        daily_summary.where(in_month(F.col("date"), month)).where(all_present("vehicle_type_name"))
         .groupBy("vehicle_type_name").agg(money_sum(F.col("total_revenue")).alias("total_revenue"))
     )
     return top(by_vehicle, "total_revenue", "vehicle_type_name", k)
