@@ -77,9 +77,13 @@ def candidates(name: str, prepared: DataFrame) -> DataFrame:
 
 
 def extract(name: str, prepared: DataFrame) -> DataFrame:
-    """One Bronze table: rows taken, first row per key kept, typed."""
+    """One Bronze table: rows taken, first row per key kept, typed.
+
+    Rows the source does not put in order are ordered by their own values, so
+    the survivor never depends on the run.
+    """
     spec = EXTRACTS[name]
     rows = candidates(name, prepared)
-    kept = keep_first(rows, spec.key_columns, order_columns(prepared))
+    kept = keep_first(rows, spec.key_columns, [*order_columns(prepared), *spec.columns, *LINEAGE_COLUMNS])
     zeros = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in spec.zero_filled}
     return kept.withColumns(zeros).select(*schema_of("bronze", name).fieldNames())

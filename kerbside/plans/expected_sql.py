@@ -35,18 +35,21 @@ LINEAGE = "extraction_date, extraction_month, source_file"
 RIDE_COLUMNS = ", ".join(name for _, name, _ in SOURCE_COLUMNS)
 
 
-def first_per(columns: str, keys: str, source: str, where: str, select: str | None = None) -> str:
+def first_per(columns: str, keys: str, source: str, where: str, names: str | None = None) -> str:
+    """First row per key and month; ``names`` are the column names if ``columns`` are expressions."""
+    names = names or columns
+    values = ", ".join(f"{name.strip()} nulls first" for name in names.split(","))
+    month = "" if "extraction_month" in names else ", extraction_month"
     return (
-        f"select {select or columns} from (select {columns}, row_number() over (partition by {keys}, extraction_month "
-        f"order by {ORDER}) as rn from {source} where {where}) where rn = 1"
+        f"select {names} from (select *, row_number() over (partition by {keys}, extraction_month "
+        f"order by {ORDER}, {values}) as rn from (select {columns}{month}, o0, o1, o2, o3, o4 from {source} "
+        f"where {where})) where rn = 1"
     )
 
 
 def named(column: str, source: str) -> str:
-    columns = f"{source} as {column}, booking_id, {LINEAGE}"
-    inner = (f"select {columns}, row_number() over (partition by {source}, booking_id, extraction_month "
-             f"order by {ORDER}) as rn from ride where {source} is not null")
-    return f"select {column}, booking_id, {LINEAGE} from ({inner}) where rn = 1"
+    return first_per(f"{source} as {column}, booking_id, {LINEAGE}", f"{column}, booking_id", "ride",
+                     f"{source} is not null", f"{column}, booking_id, {LINEAGE}")
 
 
 BOOKING = ("booking_id, customer_id, vehicle_type, pickup_location, drop_location, booking_status, payment_method, "

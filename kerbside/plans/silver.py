@@ -84,9 +84,8 @@ def incompleted_ride(bronze_incompleted: DataFrame) -> DataFrame:
 
 def ride_times(prepared: DataFrame) -> DataFrame:
     """The ride fact with arrival and trip minutes, as the data dictionary lists it."""
-    rows = prepared.where(EXTRACTS["ride"].where)
-    return keep_first(rows, EXTRACTS["ride"].key_columns, order_columns(prepared)).select(
-        "booking_id", "avg_vtat", "avg_ctat", "ride_distance", "driver_rating", "customer_rating")
+    columns = ["booking_id", "avg_vtat", "avg_ctat", "ride_distance", "driver_rating", "customer_rating"]
+    return _first_bookings("ride", prepared, columns)
 
 
 def cancellation_actor(prepared: DataFrame) -> DataFrame:
@@ -95,10 +94,16 @@ def cancellation_actor(prepared: DataFrame) -> DataFrame:
     The customer flag wins if both are set; the reason is the customer's if
     there is one, else the driver's.
     """
-    rows = prepared.where(EXTRACTS["cancelled_ride"].where)
-    kept = keep_first(rows, EXTRACTS["cancelled_ride"].key_columns, order_columns(prepared))
     actor = (F.when(F.col("cancelled_rides_by_customer") > 0, "Customer")
              .when(F.col("cancelled_rides_by_driver") > 0, "Driver"))
-    return kept.select(
-        "booking_id", actor.alias("ride_cancelled_by"),
-        F.coalesce("customer_cancel_reason", "driver_cancel_reason").alias("cancellation_reason"))
+    named = prepared.withColumns({
+        "ride_cancelled_by": actor,
+        "cancellation_reason": F.coalesce("customer_cancel_reason", "driver_cancel_reason")})
+    return _first_bookings("cancelled_ride", named, ["booking_id", "ride_cancelled_by", "cancellation_reason"])
+
+
+def _first_bookings(table: str, prepared: DataFrame, columns: list[str]) -> DataFrame:
+    """Other columns of the rows a Bronze table takes, de-duplicated as that table is."""
+    spec, order = EXTRACTS[table], order_columns(prepared)
+    rows = prepared.where(spec.where).select(*columns, "extraction_month", *order)
+    return keep_first(rows, spec.key_columns, [*order, *columns]).select(*columns)
