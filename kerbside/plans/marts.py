@@ -50,9 +50,12 @@ def product_changes(sale_lines: DataFrame, product: DataFrame) -> DataFrame:
     return counts.join(product, "product_id").select("product_id", "product_name", "changes", *PERIOD)
 
 
-def _per_order(sale_lines: DataFrame, *more: str) -> DataFrame:
+def _per_order(sale_lines: DataFrame) -> DataFrame:
     """Lines combined per order and month in cents, before any join: a smaller side to shuffle."""
-    return sale_lines.where(F.col("order_id").isNotNull()).groupBy("order_id", *PERIOD, *more).agg(money_sum(F.col("value")).alias("value"))
+    return (
+        sale_lines.where(F.col("order_id").isNotNull()).groupBy("order_id", *PERIOD)
+        .agg(money_sum(F.col("value")).alias("value"))
+    )
 
 
 def referral_revenue(sale_lines: DataFrame, buyer: DataFrame) -> DataFrame:
@@ -127,10 +130,11 @@ def branch_sales(sale_lines: DataFrame, branch: DataFrame) -> DataFrame:
     """Distinct orders and revenue per branch and month, with shares.
 
     An order may be served by several branches; it counts once in each, and
-    once in the company's total.
+    once in the company's total.  Lines of an order rarely share a seller, so
+    they meet the branches directly and are combined per order afterwards.
     """
     mart = (
-        _per_order(sale_lines, "seller_id").join(branch, "seller_id")
+        sale_lines.where(F.col("order_id").isNotNull()).join(branch, "seller_id")
         .groupBy("branch", *PERIOD, "order_id").agg(money_sum(F.col("value")).alias("value"))
         .groupBy("branch", *PERIOD)
         .agg(F.count(F.lit(1)).alias("orders"), money_sum(F.col("value")).alias("revenue"))
