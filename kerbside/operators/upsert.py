@@ -30,5 +30,5 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str],
 
 def insert_new(stored: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows whose key is not stored yet: running a load twice adds nothing."""
-    known = stored.select(*keys).distinct()
+    known = stored.select(*keys)
     return rows.join(known, _same_key(rows, known, keys), "left_anti")

@@ -41,13 +41,15 @@ def bronze_load(warehouse: Warehouse, prepared: DataFrame, *, month: str | None
             warehouse.create("bronze", name)
             return warehouse.append(rows, "bronze", name)
         if mode == "add_new":
-            return warehouse.add_new(rows, name, EXTRACTS[name].key_columns)
+            return warehouse.add_new(rows, name, EXTRACTS[name].key_columns, months)
         if month is not None:
             return warehouse.replace_month(rows, name, month)
         return warehouse.replace_months(rows, name)
 
     if mode not in ("replace", "append", "add_new"):
         raise ValueError(f"unknown mode: {mode}")
+    # Calendar months: a short list, read from one column.
+    months = [] if mode != "add_new" else [r[0] for r in prepared.select("extraction_month").distinct().collect()]
     return together(warehouse.spark, {f"bronze.{name}": partial(write, name) for name in EXTRACTS})
 
 

@@ -126,11 +126,15 @@ class Warehouse:
         with settled(merged, table) as stored:
             return self.overwrite(stored, layer, table)
 
-    def add_new(self, df: DataFrame, table: str, keys: Sequence[str]) -> int:
-        """Append the rows whose key is not stored yet in their month."""
+    def add_new(self, df: DataFrame, table: str, keys: Sequence[str], months: Sequence[str]) -> int:
+        """Append the rows whose key is not stored yet in their month.
+
+        ``months`` are those the rows belong to: only their partitions are read.
+        """
         self.create("bronze", table)
         rows = conform(df, schema_of("bronze", table))
-        return self.append(insert_new(self.read("bronze", table), rows, keys), "bronze", table)
+        stored = self.read("bronze", table, where=F.col(MONTH).isin(list(months)))
+        return self.append(insert_new(stored, rows, keys), "bronze", table)
 
     def as_of_month(self, table: str, month: str) -> DataFrame:
         """Bronze rows loaded up to a month; Silver and Gold built on them show that state."""
