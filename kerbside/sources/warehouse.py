@@ -84,7 +84,8 @@ class Warehouse:
     def create(self, layer: str, table: str) -> None:
         """Store an empty table if there is none; an existing one is left alone."""
         if not self.exists(layer, table):
-            self._store(self.spark.createDataFrame([], schema_of(layer, table)), self.path(layer, table), "overwrite")
+            self._store(self.spark.createDataFrame([], schema_of(layer, table)), self.path(layer, table), "overwrite",
+                        by_month=layer == "bronze")
 
     def append(self, df: DataFrame, layer: str, table: str) -> int:
         """Add rows to an existing table; loading the same rows twice stores them twice."""
