@@ -7,11 +7,13 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as driver
+from kerbside.plans.expected_sql import all_expected_sql
+from kerbside.plans.registry import all_queries
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-QUERIES = driver.queries()
-EXPECTED = driver.oracle_sql()
+QUERIES = all_queries()
+EXPECTED = all_expected_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +30,7 @@ def normal(row):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(EXPECTED)
+    assert set(QUERIES) <= set(driver.queries()) and set(EXPECTED) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
