@@ -4,19 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kerbside.llm import line_dedup
+from kerbside.llm import line_dedup, simhash, token_counts, token_shards
+from kerbside.llm.scratch import scratch_path
 from kerbside.sources.ride_star import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache, so that every distinct text is encoded."""
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     scratch_path(spark, "token-cache"))
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_fingerprint_groups(read_table(spark, sf_dir, "documents"), size=3, radius=2)
+
+
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    shards = token_shards.write_token_shards(docs, scratch_path(spark, "token-shards"),
+                                             public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return shards.read(docs).select("doc_id", "start", F.col("n_ids").alias("n_tokens"),
+                                    token_shards.ids_crc32("ids").alias("ids_crc32"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_token_counts": op3_token_counts,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_token_shards": op6_token_shards,
     "op8_line_dedup": op8_line_dedup,
 }
 
