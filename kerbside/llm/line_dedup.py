@@ -106,8 +106,9 @@ def dropped_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_
     ranged = rows.repartitionByRange(width, "h1", "h2", F.desc("doc_id")).sortWithinPartitions(
         "h1", "h2", F.desc("doc_id"), "row_key", "pos")
     runs = stored(ranged.mapInArrow(_stream(min_docs, chunk_rows), _RUNS), "line-runs")
-    totals = runs.where(F.col("kind") == SUMMARY).groupBy("h1", "h2").agg(
-        F.sum("n_docs").alias("docs"), F.max("doc_id").alias("largest")).where(F.col("docs") >= min_docs)
+    # Stored, so that the planner knows how few totals there are and need not shuffle a frequent key's rows.
+    totals = stored(runs.where(F.col("kind") == SUMMARY).groupBy("h1", "h2").agg(
+        F.sum("n_docs").alias("docs"), F.max("doc_id").alias("largest")).where(F.col("docs") >= min_docs), "line-totals")
     edges = runs.where(F.col("kind") == EDGE).join(totals, ["h1", "h2"]).where(F.col("doc_id") != F.col("largest"))
     columns = ["doc_id", "row_key", "pos"]
     return runs.where(F.col("kind") == DROP).select(columns).unionByName(edges.select(columns))
@@ -161,24 +162,26 @@ def kept_digest(text: pd.Series, keep: pd.Series) -> pd.DataFrame:
 
 
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Every row of ``docs`` and its columns, with ``_keep`` (null: all lines stay) and ``_n_dropped``."""
-    marks = bitmaps.select(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_row"), F.col("keep").alias("_keep"),
-                           F.col("n_dropped").alias("_n_dropped"))
-    own = docs.withColumns({"_doc": F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), "_row": _row_key(F.col(text))})
-    return own.join(marks, ["_doc", "_row"], "left").drop("_doc", "_row")
+    """(row, keep, n_dropped) for every row of ``docs``: its columns as a struct, and null where all lines stay."""
+    marks = bitmaps.select(F.col("doc_id").alias("d"), F.col("row_key").alias("r"), "keep", "n_dropped")
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("d"),
+                      _row_key(F.col(text)).alias("r"))
+    return own.join(marks, ["d", "r"], "left").drop("d", "r")
 
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", min_docs: int = 3,
                  min_chars: int = 20) -> DataFrame:
     """``docs`` with the repeated lines taken out of their texts; a null text stays null."""
     marked = with_bitmaps(docs, keep_bitmaps(docs, text, key, min_docs, min_chars), text, key)
-    thinned = F.when(F.col("_keep").isNotNull(), kept_text(F.col(text), F.col("_keep"))).otherwise(F.col(text))
-    return marked.withColumn(text, thinned).select(*docs.columns)
+    old = F.col("row")[text]
+    thinned = F.when(F.col("keep").isNotNull(), kept_text(old, F.col("keep"))).otherwise(old)
+    return marked.select(*[(thinned if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_lines, n_dropped and the digest of the kept lines, a row per document (null text: one empty line)."""
-    marked = with_bitmaps(docs.select(key, text), keep_bitmaps(docs, text, key), text, key)
-    digest = kept_digest(F.coalesce(F.col(text), F.lit("")), F.col("_keep"))
-    return marked.select(F.col(key).alias("doc_id"), F.coalesce(F.col("_n_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+    own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    marked = with_bitmaps(own, keep_bitmaps(own))
+    digest = kept_digest(F.coalesce("row.text", F.lit("")), F.col("keep"))
+    return marked.select("row.doc_id", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
                          digest.alias("d")).select("doc_id", "d.n_lines", "n_dropped", "d.kept_sha256")

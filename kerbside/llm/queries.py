@@ -8,19 +8,42 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import line_dedup, simhash, token_counts, token_shards
+from kerbside.llm import (
+    decontamination, language_model, lattice_sampling, learned_partitions, license_scan, line_dedup, quality, simhash,
+    token_counts, token_shards)
+from kerbside.llm.expected_sql import EXPECTED_SQL
 from kerbside.llm.scratch import scratch_path
 from kerbside.sources.ride_star import read_table
 
+PROBES = 16  # parts of 32 that a query of op9 looks into
+__all__ = ["EXPECTED_SQL", "QUERIES"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    voters = quality.fit(docs, labels.where(language_model.remainder("doc_id", 3) != 1))
+    held_out = docs.withColumn("held_out", language_model.remainder("doc_id", 3) == 1)
+    return quality.scored(held_out, voters, ["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("hamming").withColumn("similarity", F.round("similarity", 9))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so that every distinct text is encoded."""
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                                      scratch_path(spark, "token-cache"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = lattice_sampling.sampled_segmentations(read_table(spark, sf_dir, "documents"),
+                                                     public_tokenizers.path("piece_bpe_32k.model"), k=2)
+    return samples.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_fingerprint_groups(read_table(spark, sf_dir, "documents"), size=3, radius=2)
 
@@ -33,37 +56,36 @@ def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     token_shards.ids_crc32("ids").alias("ids_crc32"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.license_matches(read_table(spark, sf_dir, "documents"), license_scan.templates(spark))
+    return found.withColumn("containment", F.round("containment", 9))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    index = learned_partitions.build_index(vectors)
+    return index.search(vectors.where(F.col("vec_id") % 50 == 0), k=5, probes=PROBES)
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = language_model.remainder("doc_id", 7) == 2
+    return language_model.score(docs, language_model.train(docs.where(~held_out)), held_out=held_out)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
+    "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_token_shards": op6_token_shards,
+    "op7_license_scan": op7_license_scan,
     "op8_line_dedup": op8_line_dedup,
-}
-
-# Fixed value: ASCII white space.
-_BLANK = r"[\x20\x09-\x0D]"
-
-EXPECTED_SQL: dict[str, str] = {
-    "op8_line_dedup": rf"""
-        with parts as (
-            select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
-        ), lines as (
-            select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from parts
-        ), keyed as (
-            select *, translate(regexp_replace(line, '^{_BLANK}+|{_BLANK}+$', '', 'g'),
-                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line_key from lines
-        ), repeated as (
-            select line_key, max(doc_id) as holder from keyed where length(line_key) >= 20
-            group by line_key having count(distinct doc_id) >= 3
-        ), marked as (
-            select k.*, r.line_key is not null and k.doc_id <> r.holder as gone
-            from keyed k left join repeated r using (line_key)
-        )
-        select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
-            sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
-        from marked group by doc_id""",
+    "op9_nearest": op9_nearest,
+    "op10_lm_score": op10_lm_score,
 }
