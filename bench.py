@@ -18,7 +18,7 @@ import time
 from kerbside.operators.settle import settled
 from kerbside.plans.jobs import bronze_load, gold_refresh, silver_refresh
 from kerbside.plans.registry import all_queries
-from kerbside.session import build_session
+from kerbside.session import SPREAD_CONF, build_session
 from kerbside.sources.ride_csv import stamp
 from kerbside.sources.ride_star import ride_source
 from kerbside.sources.warehouse import Warehouse
@@ -26,7 +26,6 @@ from kerbside.sources.warehouse import Warehouse
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-LONG = 8.0  # seconds; a query that took longer is timed once
 
 
 def seconds(work) -> float:
@@ -56,7 +55,7 @@ def job_times(spark) -> dict[str, float]:
 
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", **{
-        "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", SPREAD_CONF: CPUS,
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     only = set(filter(None, os.environ.get("BENCH_ONLY", "").split(",")))
@@ -68,9 +67,8 @@ def main() -> None:
         if only and name not in only:
             continue
         # The warm-up also builds the stored tables the query reads.
-        warm_up = seconds(lambda: compute(query(spark, SF_DIR)))
-        runs = RUNS if warm_up < LONG else 1
-        times[name] = statistics.median(seconds(lambda: compute(query(spark, SF_DIR))) for _ in range(runs))
+        compute(query(spark, SF_DIR))
+        times[name] = statistics.median(seconds(lambda: compute(query(spark, SF_DIR))) for _ in range(RUNS))
         print(f"{name:44} {times[name]:8.3f}", file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -13,23 +13,40 @@ from kerbside.session import build_session
 from kerbside.sources.warehouse import Warehouse
 from kerbside.streaming.incremental import ingest_and_refresh
 
-COMMANDS = ["run", "bronze", "silver", "gold", "incremental", "backfill", "all-months", "follow", "verify"]
-NEEDS_SOURCE = {"run", "bronze", "incremental", "all-months", "follow"}
+# The commands and the options each takes besides --warehouse.
+OPTIONS: dict[str, set[str]] = {
+    "run": {"source_file", "extraction_date", "no_date_filter", "mode", "on_bad_date"},
+    "bronze": {"source_file", "extraction_date", "no_date_filter", "mode", "on_bad_date"},
+    "silver": {"extraction_month"},
+    "gold": {"extraction_date", "by_month"},
+    "incremental": {"source_file", "extraction_date", "mode", "on_bad_date"},
+    "backfill": set(),
+    "all-months": {"source_file", "mode", "on_bad_date"},
+    "follow": {"source_file", "extraction_date", "on_bad_date", "progress_folder"},
+    "verify": {"extraction_month"},
+}
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="kerbside", description=__doc__)
-    parser.add_argument("command", choices=COMMANDS)
-    parser.add_argument("-s", "--source-file", help="booking file; for follow, the folder files arrive in")
-    parser.add_argument("-d", "--extraction-date", type=date.fromisoformat, help="YYYY-MM-DD, default today")
+    parser.add_argument("command", choices=list(OPTIONS))
+    parser.add_argument("-s", "--source-file", help="booking file, folder or pattern; for follow, the folder files arrive in")
+    parser.add_argument("-d", "--extraction-date", type=date.fromisoformat,
+                        help="YYYY-MM-DD, default today; for gold, the one day of the daily summary")
     parser.add_argument("-m", "--extraction-month", help="YYYY-MM, limits silver and names the verified month")
     parser.add_argument("-w", "--warehouse", default="warehouse", help="root folder of the stored tables")
     parser.add_argument("--no-date-filter", action="store_true", help="load all rows, whatever their date")
-    parser.add_argument("--mode", choices=["replace", "append", "add_new"], default="replace")
-    parser.add_argument("--on-bad-date", choices=["reject", "fail"], default="reject")
+    parser.add_argument("--by-month", action="store_true", help="for gold: one row per extraction month")
+    parser.add_argument("--mode", choices=["replace", "append", "add_new"])
+    parser.add_argument("--on-bad-date", choices=["reject", "fail"])
     parser.add_argument("--progress-folder", help="for follow: where the taken files are recorded")
     args = parser.parse_args(argv)
-    if args.command in NEEDS_SOURCE and not args.source_file:
+    allowed = OPTIONS[args.command]
+    unused = [name for name, value in vars(args).items()
+              if value not in (None, False) and name not in {"command", "warehouse"} | allowed]
+    if unused:
+        parser.error(f"{args.command} does not take --{unused[0].replace('_', '-')}")
+    if "source_file" in allowed and not args.source_file:
         parser.error(f"{args.command} needs --source-file")
     if args.command == "verify" and not args.extraction_month:
         parser.error("verify needs --extraction-month")
@@ -39,7 +56,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 def execute(args: argparse.Namespace, spark) -> dict[str, dict[str, int]]:
     """Run one command; rows written by layer and table."""
     warehouse = Warehouse(spark, args.warehouse)
-    load = {"mode": args.mode, "on_bad_date": args.on_bad_date}
+    load = {"mode": args.mode or "replace", "on_bad_date": args.on_bad_date or "reject"}
     match args.command:
         case "run":
             return jobs.run(spark, args.warehouse, args.source_file, args.extraction_date,
@@ -52,19 +69,21 @@ def execute(args: argparse.Namespace, spark) -> dict[str, dict[str, int]]:
         case "silver":
             return {"silver": jobs.silver_refresh(warehouse, extraction_month=args.extraction_month)}
         case "gold":
-            return {"gold": jobs.gold_refresh(warehouse)}
+            return {"gold": jobs.gold_refresh(warehouse, target_date=args.extraction_date, by_month=args.by_month)}
         case "backfill":
             return jobs.backfill(spark, args.warehouse)
         case "all-months":
-            return jobs.run_all_months(spark, args.warehouse, args.source_file, mode=args.mode)
+            return jobs.run_all_months(spark, args.warehouse, args.source_file, **load)
         case "follow":
             progress = args.progress_folder or f"{args.warehouse}/progress"
             return ingest_and_refresh(spark, args.source_file, args.warehouse, progress,
-                                      extraction_date=args.extraction_date)
+                                      extraction_date=args.extraction_date, on_bad_date=load["on_bad_date"])
         case _:
             for name, frame in verify(warehouse, args.extraction_month).items():
                 print(name)
-                frame.show(50, truncate=False)
+                print(*frame.columns, sep="\t")
+                for row in frame.toLocalIterator():  # a row per month at most
+                    print(*row, sep="\t")
             return {}
 
 

@@ -1,8 +1,8 @@
 """Money sums that do not depend on row order.
 
-Amounts are doubles with at most two decimals.  Adding doubles in another
-order changes the last bits, so partial aggregates are kept in whole cents: a
-64-bit integer buffer that hash aggregation updates in place.
+Adding doubles in another order changes the last bits, so amounts are summed as whole millionths: each is split in
+a high and a low part, whose sums are 64-bit integers that hash aggregation updates in place and that do not
+overflow below 10**18 rows.  Amounts that are not finite, or beyond 9 * 10**12, are added as doubles.
 """
 
 from __future__ import annotations
@@ -10,19 +10,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+UNITS = 10**6  # digits after the point that count: six
+_LARGEST = 9.0e12  # whose millionths fit a long
+_LOW = (1 << 32) - 1
 
-def cents(amount: Column) -> Column:
-    return F.floor(amount * 100 + 0.5)
+
+def _exact_sum(amount: Column) -> Column:
+    """Sum of the non-null amounts, null for none: a decimal up to its last step."""
+    amount = amount.cast("double")
+    small = F.abs(amount) < _LARGEST
+    units = F.when(small, F.round(amount * UNITS).cast("long"))
+    high, low = F.sum(F.shiftright(units, 32)), F.sum(units.bitwiseAND(F.lit(_LOW).cast("long")))
+    whole = high.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + low.cast("decimal(20,0)")
+    exact = (whole * F.lit("0.000001").cast("decimal(6,6)")).cast("double")
+    other = F.sum(F.when(~small, amount))
+    return F.when(other.isNull(), exact).otherwise(other + F.coalesce(exact, F.lit(0.0)))
 
 
 def money_sum(amount: Column) -> Column:
     """Sum; 0.0 for a group without any amount."""
-    return F.coalesce(F.sum(cents(amount)), F.lit(0)) / F.lit(100.0)
+    return F.coalesce(_exact_sum(amount), F.lit(0.0))
 
 
 def money_avg(amount: Column) -> Column:
     """Mean of the non-null amounts; null for a group without any."""
-    return (F.sum(cents(amount)) / F.lit(100.0)) / F.nullif(F.count(amount), F.lit(0))
+    return _exact_sum(amount) / F.nullif(F.count(amount), F.lit(0))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

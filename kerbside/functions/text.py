@@ -35,6 +35,6 @@ def to_number(column: Column) -> Column:
 
 
 def to_date(column: Column) -> Column:
-    """Date, or null where the text is no YYYY-MM-DD date."""
-    dashed = (F.char_length(column) == 10) & (F.substring(column, 5, 1) == "-") & (F.substring(column, 8, 1) == "-")
-    return F.when(dashed, column.try_cast("date"))
+    """Date of a text YYYY-MM-DD or YYYY/MM/DD, a time of day after it or not; null for any other text."""
+    whole = F.regexp_like(column, F.lit(r"^\d{4}([-/])\d{2}\1\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"))
+    return F.when(whole, F.translate(F.substring(column, 1, 10), "/", "-").try_cast("date"))

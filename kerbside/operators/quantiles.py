@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.operators.settle import settle
+from kerbside.operators.settle import settled
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
@@ -18,6 +18,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Mappin
     are range-partitioned and written with their slice number, slice totals
     give the slice each wanted rank falls into, and only those slices are read
     again and ranked.  Writing freezes the slices: a retry cannot move them.
+    The result has a row per column, so it is taken to the driver and the
+    written slices are removed.
     """
     value_counts = (
         df.select(F.inline(F.array(*[
@@ -25,10 +27,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Mappin
         .where(F.col("value").isNotNull())
         .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    slices = settle(
-        value_counts.repartitionByRange("column_name", "value").withColumn("slice", F.spark_partition_id()),
-        "quantiles")
+    sliced = value_counts.repartitionByRange("column_name", "value").withColumn("slice", F.spark_partition_id())
+    with settled(sliced, "quantiles") as slices:
+        result = _from_slices(slices, probabilities)
+        return df.sparkSession.createDataFrame(result.collect(), result.schema)
 
+
+def _from_slices(slices: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
     # One row per column and slice, so no more rows than write tasks plus columns.
     totals = slices.groupBy("column_name", "slice").agg(F.sum("n").alias("slice_n"))
     by_slice = Window.partitionBy("column_name").orderBy("slice")

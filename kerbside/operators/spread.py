@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer partitions than the session has cores.
+def spread(scan: DataFrame, tasks: int | None) -> DataFrame:
+    """Redistribute a scan over so many tasks; without a number it stays as it is.
 
     One gzipped CSV or one Parquet row group is one task, and every stage up to
-    the next shuffle would run on one core.  A large input has more splits than
-    cores and is returned as it is, without a shuffle.
+    the next shuffle would run on one core.  Whether a shuffle of all rows is
+    worth it the caller knows; the plan does not depend on the cluster.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan if tasks is None else scan.repartition(tasks)

@@ -19,8 +19,9 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str],
            newest_first: Sequence[str | Column]) -> DataFrame:
     """Base rows whose key is not updated, plus the newest update of every key.
 
-    The base is unique by key, so only the updates are ranked; the base takes
-    part in one anti-join on the keys.
+    Only the updates are ranked, and the base takes part in one anti-join on the
+    keys: of a key that the base holds more than once and that is not updated,
+    all rows stay.
     """
     newest = keep_first(updates, keys, newest_first)
     changed = newest.select(*keys)

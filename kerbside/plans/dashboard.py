@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.money import money_sum, ratio
 from kerbside.functions.nulls import all_present
+from kerbside.sources.warehouse import Warehouse
 
 ALL_MONTHS = "All"
 log = logging.getLogger(__name__)
 
 
-def available_months(bronze_booking: DataFrame) -> DataFrame:
-    """Months loaded, newest first."""
-    return bronze_booking.select("extraction_month").distinct().orderBy(F.desc("extraction_month"))
+def available_months(warehouse: Warehouse) -> DataFrame:
+    """Months of stored bookings, newest first; from the folder names alone."""
+    months = sorted(warehouse.stored_months("booking"), reverse=True)
+    return warehouse.spark.createDataFrame([(m,) for m in months], "extraction_month string")
 
 
 def filter_direct(df: DataFrame, month: str) -> DataFrame:
@@ -26,9 +28,10 @@ def filter_direct(df: DataFrame, month: str) -> DataFrame:
 def filter_by_key(df: DataFrame, bronze_booking: DataFrame, month: str, key: str) -> DataFrame:
     """Rows whose key occurs in that month's bookings.
 
-    The semi-join reads one column of one month partition.
+    The semi-join reads one column of one month partition.  Its right side
+    cannot be split at a frequent key, so every key goes there once.
     """
-    keys = filter_direct(bronze_booking, month).select(key)
+    keys = filter_direct(bronze_booking, month).select(key).distinct()
     return df.join(keys, key, "left_semi")
 
 

@@ -1,7 +1,7 @@
 """The same queries in plain SQL over the sales tables, for an independent engine.
 
 Each statement is self-contained: it lists the building blocks it needs as
-common table expressions.  Money is added as DECIMAL(18,2) here.
+common table expressions.  Money is added as decimals of six digits after the point.
 """
 
 from __future__ import annotations
@@ -15,11 +15,11 @@ from kerbside.sources.ride_star import MAPPING, ROW_ORDER, SOURCE_FILE, STATUS
 
 
 def total(value: str) -> str:
-    return f"cast(coalesce(sum(cast({value} as decimal(18,2))), 0) as double)"
+    return f"cast(coalesce(sum(cast({value} as decimal(38,6))), 0) as double)"
 
 
 def mean(value: str) -> str:
-    return f"cast(sum(cast({value} as decimal(18,2))) as double) / nullif(count({value}), 0)"
+    return f"cast(sum(cast({value} as decimal(38,6))) as double) / nullif(count({value}), 0)"
 
 
 def ratio(top: str, bottom: str) -> str:
@@ -199,7 +199,7 @@ def _spelled(name: str, kind: str) -> str:
     """A text column as the untidy source spells it."""
     if name in ("booking_id", "customer_id"):
         return f"'\"' || {name} || '\"' as {name}"
-    return name if kind == "double" else f"' ' || {name} || chr(9) || ' ' as {name}"
+    return name if kind in ("double", "date") else f"' ' || {name} || chr(9) || ' ' as {name}"
 
 
 def _listing(layers: list[str]) -> str:
@@ -247,7 +247,7 @@ def _bodies() -> dict[str, str]:
         "src_prepare": f"select {RIDE_COLUMNS}, {LINEAGE} from ride",
         "src_clean_text": "select doc_id, " + ", ".join(map(_clean, ("text", "lang", "source"))) + " from documents",
         "src_na_normalise": "select " + ", ".join(
-            _spelled(name, kind) for _, name, kind in SOURCE_COLUMNS if kind != "date") + " from ride",
+            _spelled(name, kind) for _, name, kind in SOURCE_COLUMNS) + " from ride",
         "src_month_slice": f"select booking_id, date, time, booking_status, booking_value, {LINEAGE} from ride "
                            f"where {in_month}",
         "store_read_projected": f"select booking_id, customer_id, booking_value from bronze_booking "
@@ -371,11 +371,12 @@ def _bodies() -> dict[str, str]:
         "mart_product_changes": "select product_id, p_name as product_name, count(*) as changes, year, month "
                                 "from sales join part on p_partkey = product_id where is_change "
                                 "group by product_id, p_name, year, month",
-        "mart_referral_revenue": f"select channel, {total('value')} as revenue, {total('value')} * 100.0::double / "
-                                 f"(select {total('value')} from sales) as revenue_percent from sales group by channel",
-        "mart_monthly_growth": "select year, month, all_revenue as revenue, all_revenue * 100.0::double / "
-                               "nullif(lag(all_revenue) over (order by year, month), 0) - 100 as growth_percent "
-                               "from company",
+        "mart_referral_revenue": f"select channel, s.year, s.month, {total('value')} as revenue, {total('value')} * "
+                                 f"100.0::double / any_value(all_revenue) as revenue_percent from sales s join company c "
+                                 f"on c.year = s.year and c.month = s.month group by channel, s.year, s.month",
+        "mart_monthly_growth": "select c.year, c.month, c.all_revenue as revenue, c.all_revenue * 100.0::double / "
+                               "nullif(p.all_revenue, 0) - 100 as growth_percent from company c left join company p "
+                               "on p.year * 12 + p.month + 1 = c.year * 12 + c.month",
         "mart_customer_sales": _shares(
             f"select customer_id, count(distinct order_id) as orders, {total('value')} as revenue, year, month "
             f"from sales group by customer_id, year, month", "customer_id"),

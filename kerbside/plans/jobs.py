@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import UTC, date, datetime
 from functools import partial
 
@@ -14,9 +14,9 @@ from kerbside.functions.calendar import in_month, month_key
 from kerbside.operators.settle import settled
 from kerbside.plans import gold, silver
 from kerbside.plans.bronze import EXTRACTS, extract
-from kerbside.sources.files import path_exists
+from kerbside.sources.files import matches
 from kerbside.sources.ride_csv import DATE_TEXT, read_raw, rejected_dates, stamp, tidy
-from kerbside.sources.warehouse import Warehouse, audit, together
+from kerbside.sources.warehouse import StagedMonths, Warehouse, audit, together
 
 Counts = dict[str, int]
 log = logging.getLogger(__name__)
@@ -32,25 +32,40 @@ def bronze_load(warehouse: Warehouse, prepared: DataFrame, *, month: str | None
 
     ``prepared`` should be a stored table: it is read nine times, a few columns
     each.  Modes: "replace" swaps the month (or, without ``month``, every month
-    in the frame), so loads can be repeated; "append" adds rows as they are;
-    "add_new" adds only keys not stored yet.
+    in the frame) in all nine tables, also where an extract has no row for it,
+    so loads can be repeated; "append" adds rows as they are; "add_new" adds only
+    keys not stored yet.  In "replace" all extracts are written before the first
+    one takes the place of stored rows.
     """
     def write(name: str) -> int:
         rows = extract(name, prepared)
         if mode == "append":
             warehouse.create("bronze", name)
             return warehouse.append(rows, "bronze", name)
-        if mode == "add_new":
-            return warehouse.add_new(rows, name, EXTRACTS[name].key_columns, months)
-        if month is not None:
-            return warehouse.replace_month(rows, name, month)
-        return warehouse.replace_months(rows, name)
+        return warehouse.add_new(rows, name, EXTRACTS[name].key_columns, months)
 
     if mode not in ("replace", "append", "add_new"):
         raise ValueError(f"unknown mode: {mode}")
     # Calendar months: a short list, read from one column.
-    months = [] if mode != "add_new" else [r[0] for r in prepared.select("extraction_month").distinct().collect()]
-    return together(warehouse.spark, {f"bronze.{name}": partial(write, name) for name in EXTRACTS})
+    months = [month] if month is not None else [
+        r[0] for r in prepared.select("extraction_month").distinct().collect() if r[0] is not None]
+    if mode != "replace":
+        return together(warehouse.spark, {f"bronze.{name}": partial(write, name) for name in EXTRACTS})
+    staged: dict[str, StagedMonths] = {}
+
+    def stage(name: str) -> int:
+        staged[name] = warehouse.stage_months(extract(name, prepared), name)
+        return staged[name].rows
+
+    try:
+        counts = together(warehouse.spark, {f"bronze.{name}": partial(stage, name) for name in EXTRACTS})
+    except Exception:
+        for rows in staged.values():
+            rows.discard()
+        raise
+    for rows in staged.values():
+        rows.put(months)
+    return counts
 
 
 def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
@@ -79,16 +94,22 @@ def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
         warehouse.spark, {f"silver.{t}": partial(write, t, build) for t, build in facts.items()})
 
 
-def gold_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None, target_date: date | None = None) -> Counts:
-    """Rebuild the three aggregates from Silver."""
+def gold_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None, target_date: date | None = None,
+                 by_month: bool = False) -> Counts:
+    """Rebuild the three aggregates from Silver; by month from the bookings that carry their extraction month."""
     run_ts = run_ts or utc_now()
     bookings = warehouse.read("silver", "booking")
+    if by_month:
+        named = {name: warehouse.read("silver", name) for name in silver.NAMED_DIMENSIONS}
+        bookings = silver.booking(warehouse.read("bronze", "booking"), named, carry_month=True)
     builds = {
         "daily_booking_summary": lambda: gold.daily_booking_summary(
             bookings, warehouse.read("silver", "vehicle_type"), warehouse.read("silver", "booking_status"),
-            target_date=target_date),
-        "customer_analytics": lambda: gold.customer_analytics(warehouse.read("silver", "customer"), bookings),
-        "location_analytics": lambda: gold.location_analytics(bookings, warehouse.read("silver", "location")),
+            target_date=target_date, by_month=by_month),
+        "customer_analytics": lambda: gold.customer_analytics(
+            warehouse.read("silver", "customer"), bookings, by_month=by_month),
+        "location_analytics": lambda: gold.location_analytics(
+            bookings, warehouse.read("silver", "location"), by_month=by_month),
     }
 
     def write(table: str) -> int:
@@ -99,35 +120,47 @@ def gold_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None, target
 
 def load_tidied(warehouse: Warehouse, tidied: DataFrame, extraction_date: date | None, *, label: str,
                 no_date_filter: bool = False, mode: str = "replace", on_bad_date: str = "reject") -> Counts:
-    """Stage the rows of a run once, store its rejects, load Bronze from the stage.
+    """Stage the rows of a run once, load Bronze from the stage, store the run's rejects.
 
     The staged copy is columnar and holds the run's rows only, so nine extracts
-    do not parse the file nine times.
+    do not parse the file nine times.  With ``on_bad_date="fail"`` a bad date
+    stops the run before anything is written.  Rejects are stored by source file
+    below ``label``: loading a file again replaces that file's rejects only.
     """
     rows = tidied
     if extraction_date is not None and not no_date_filter:
         undated = F.col("date").isNull() & F.col(DATE_TEXT).isNotNull()
         rows = rows.where(in_month(F.col("date"), month_key(extraction_date)) | undated)
     with settled(rows, "prepared") as staged:
-        # One folder per run label, replaced when the run is repeated.
-        rejected_dates(staged).write.mode("overwrite").parquet(f"{warehouse.root}/rejects/{label}")
-        prepared = stamp(staged, extraction_date, no_date_filter=no_date_filter, on_bad_date=on_bad_date)
+        rejects = rejected_dates(staged)
+        if on_bad_date == "fail" and (bad := rejects.select(DATE_TEXT).first()) is not None:
+            raise ValueError(f"not a date: {bad[0]}")
+        prepared = stamp(staged, extraction_date, no_date_filter=no_date_filter)
         month = None if extraction_date is None else month_key(extraction_date)
-        return bronze_load(warehouse, prepared, month=month, mode=mode)
+        counts = bronze_load(warehouse, prepared, month=month, mode=mode)
+        rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(
+            f"{warehouse.root}/rejects/{label}")
+        return counts
 
 
-def load_file(warehouse: Warehouse, source_file: str, extraction_date: date | None, *,
-              no_date_filter: bool = False, mode: str = "replace", on_bad_date: str = "reject") -> Counts:
-    """Bronze from a booking file; a missing file is an error."""
+def load_file(warehouse: Warehouse, source_file: str | Sequence[str], extraction_date: date | None, *,
+              no_date_filter: bool = False, mode: str = "replace", on_bad_date: str = "reject",
+              spread_to: int | None = None) -> Counts:
+    """Bronze from a booking file, a folder, a glob pattern or several of them; a missing one is an error.
+
+    ``spread_to`` redistributes the rows over so many tasks, for few files that cannot be split.
+    """
     spark = warehouse.spark
-    if not path_exists(spark, source_file):
-        raise FileNotFoundError(f"source file not found: {source_file}")
+    paths = [source_file] if isinstance(source_file, str) else list(source_file)
+    for path in paths:
+        if not matches(spark, path):
+            raise FileNotFoundError(f"source file not found: {path}")
     label = "all-months" if extraction_date is None else month_key(extraction_date)
-    return load_tidied(warehouse, tidy(read_raw(spark, source_file)), extraction_date, label=label,
+    return load_tidied(warehouse, tidy(read_raw(spark, paths, spread_to=spread_to)), extraction_date, label=label,
                        no_date_filter=no_date_filter, mode=mode, on_bad_date=on_bad_date)
 
 
-def run(spark: SparkSession, warehouse_root: str, source_file: str | None = None,
+def run(spark: SparkSession, warehouse_root: str, source_file: str | Sequence[str] | None = None,
         extraction_date: date | None = None, *, run_bronze: bool = True, run_silver: bool = True,
         run_gold: bool = True, no_date_filter: bool = False, mode: str = "replace",
         on_bad_date: str = "reject", run_ts: datetime | None = None) -> dict[str, Counts]:
@@ -158,11 +191,12 @@ def run_month(spark: SparkSession, warehouse_root: str, source_file: str, year:
     return run(spark, warehouse_root, source_file, date(year, month, day), **options)
 
 
-def run_all_months(spark: SparkSession, warehouse_root: str, source_file: str, *,
-                   mode: str = "replace", run_ts: datetime | None = None) -> dict[str, Counts]:
-    """Every month of the file in one scan; each row belongs to the month of its own date."""
+def run_all_months(spark: SparkSession, warehouse_root: str, source_file: str | Sequence[str], *,
+                   mode: str = "replace", on_bad_date: str = "reject",
+                   run_ts: datetime | None = None) -> dict[str, Counts]:
+    """Every month of the files in one scan; each row belongs to the month of its own date."""
     warehouse = Warehouse(spark, warehouse_root)
-    bronze_counts = load_file(warehouse, source_file, None, mode=mode)
+    bronze_counts = load_file(warehouse, source_file, None, mode=mode, on_bad_date=on_bad_date)
     return {"bronze": bronze_counts, **backfill(spark, warehouse_root, run_ts=run_ts)}
 
 

@@ -50,22 +50,27 @@ def product_changes(sale_lines: DataFrame, product: DataFrame) -> DataFrame:
     return counts.join(product, "product_id").select("product_id", "product_name", "changes", *PERIOD)
 
 
+def _by_order(sale_lines: DataFrame) -> DataFrame:
+    """Lines dealt by their order: grouping per order, with whatever else, and the join with the orders' buyers all
+    find them in place, so lines are shuffled once.  An order's lines are few."""
+    return sale_lines.where(F.col("order_id").isNotNull()).repartition("order_id")
+
+
 def _per_order(sale_lines: DataFrame) -> DataFrame:
-    """Lines combined per order and month in cents, before any join: a smaller side to shuffle."""
-    return (
-        sale_lines.where(F.col("order_id").isNotNull()).groupBy("order_id", *PERIOD)
-        .agg(money_sum(F.col("value")).alias("value"))
-    )
+    """Lines combined per order and month."""
+    return _by_order(sale_lines).groupBy("order_id", *PERIOD).agg(money_sum(F.col("value")).alias("value"))
 
 
 def referral_revenue(sale_lines: DataFrame, buyer: DataFrame) -> DataFrame:
-    """Revenue per referral channel and its share of all revenue."""
+    """Revenue per referral channel and month, and its share of the month's revenue."""
     by_channel = (
-        sale_lines.groupBy("order_id").agg(money_sum(F.col("value")).alias("value"))
-        .join(buyer, "order_id").groupBy("channel").agg(money_sum(F.col("value")).alias("revenue"))
+        _per_order(sale_lines).join(buyer, "order_id").groupBy("channel", *PERIOD)
+        .agg(money_sum(F.col("value")).alias("revenue"))
     )
-    total = by_channel.agg(money_sum(F.col("revenue")).alias("all_revenue"))
-    return by_channel.withColumn("revenue_percent", percent(F.col("revenue"), total.scalar()))
+    # Proven bound of the broadcast: one row per calendar month.
+    month = by_channel.groupBy(*PERIOD).agg(money_sum(F.col("revenue")).alias("all_revenue"))
+    return by_channel.join(F.broadcast(month), PERIOD).select(
+        "channel", *PERIOD, "revenue", percent(F.col("revenue"), F.col("all_revenue")).alias("revenue_percent"))
 
 
 def monthly_growth(sale_lines: DataFrame) -> DataFrame:
@@ -76,14 +81,13 @@ def monthly_growth(sale_lines: DataFrame) -> DataFrame:
         *PERIOD, "revenue", (percent(F.col("revenue"), F.col("previous")) - 100).alias("growth_percent"))
 
 
-def _with_shares(mart: DataFrame, sale_lines: DataFrame) -> DataFrame:
+def _with_shares(mart: DataFrame, per_order: DataFrame) -> DataFrame:
     """Shares of the company's orders and revenue of the month.
 
-    The totals come from the same per-order rows as the customer mart, so that
-    shuffle is shared.  Proven bound of the broadcast: one row per calendar
-    month, 12 a year.
+    The totals come from the same per-order rows as the mart, so that shuffle is
+    shared.  Proven bound of the broadcast: one row per calendar month, 12 a year.
     """
-    company = _per_order(sale_lines).groupBy(*PERIOD).agg(
+    company = per_order.groupBy(*PERIOD).agg(
         F.count(F.lit(1)).alias("all_orders"), money_sum(F.col("value")).alias("all_revenue"))
     return mart.join(F.broadcast(company), PERIOD).withColumns({
         "orders_percent": percent(F.col("orders"), F.col("all_orders").cast("double")),
@@ -101,14 +105,14 @@ def customer_sales(sale_lines: DataFrame, buyer: DataFrame) -> DataFrame:
         _per_order(sale_lines).join(buyer, "order_id").groupBy("customer_id", *PERIOD)
         .agg(F.count(F.lit(1)).alias("orders"), money_sum(F.col("value")).alias("revenue"))
     )
-    return _with_shares(mart, sale_lines).select(
+    return _with_shares(mart, _per_order(sale_lines)).select(
         "customer_id", "orders", "revenue", "orders_percent", "revenue_percent", *PERIOD)
 
 
 def customer_category(sale_lines: DataFrame, buyer: DataFrame) -> DataFrame:
     """'ocasional' with one distinct order in the month, 'frecuente' with more."""
     per_customer = (
-        sale_lines.select("order_id", *PERIOD).distinct().join(buyer, "order_id")
+        _by_order(sale_lines.select("order_id", *PERIOD)).distinct().join(buyer, "order_id")
         .groupBy("customer_id", *PERIOD).agg(F.count(F.lit(1)).alias("orders"))
     )
     kind = F.when(F.col("orders") == 1, "ocasional").otherwise("frecuente")
@@ -130,14 +134,16 @@ def branch_sales(sale_lines: DataFrame, branch: DataFrame) -> DataFrame:
     """Distinct orders and revenue per branch and month, with shares.
 
     An order may be served by several branches; it counts once in each, and
-    once in the company's total.  Lines of an order rarely share a seller, so
-    they meet the branches directly and are combined per order afterwards.
+    once in the company's total.  Lines meet the branches before they are dealt
+    by order, and both groupings work on what was dealt.
     """
+    served = _by_order(sale_lines.join(branch, "seller_id", "left"))
     mart = (
-        sale_lines.where(F.col("order_id").isNotNull()).join(branch, "seller_id")
-        .groupBy("branch", *PERIOD, "order_id").agg(money_sum(F.col("value")).alias("value"))
+        served.where(F.col("branch").isNotNull())
+        .groupBy("order_id", *PERIOD, "branch").agg(money_sum(F.col("value")).alias("value"))
         .groupBy("branch", *PERIOD)
         .agg(F.count(F.lit(1)).alias("orders"), money_sum(F.col("value")).alias("revenue"))
     )
-    return _with_shares(mart, sale_lines).select(
+    per_order = served.groupBy("order_id", *PERIOD).agg(money_sum(F.col("value")).alias("value"))
+    return _with_shares(mart, per_order).select(
         "branch", "orders", "revenue", "orders_percent", "revenue_percent", *PERIOD)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.calendar import month_start
-from kerbside.functions.text import clean_text, na_to_null, to_number
+from kerbside.functions.text import clean_text, na_to_null, to_date, to_number
 from kerbside.operators.keep_first import keep_first
 from kerbside.operators.profile import QUARTILES, column_profile, describe, table_size
 from kerbside.operators.upsert import upsert
@@ -52,9 +52,9 @@ def src_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_na_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens to null and numbers typed; text columns keep their quotes and blanks."""
     raw = raw_rides(spark, sf_dir)
-    kinds = {"string": lambda c: c, "double": to_number}
+    kinds = {"string": lambda c: c, "double": to_number, "date": to_date}
     columns = [kinds[kind](na_to_null(F.col(header))).alias(name)
-               for header, name, kind in SOURCE_COLUMNS if kind in kinds]
+               for header, name, kind in SOURCE_COLUMNS]
     return raw.select(*columns)
 
 
@@ -97,7 +97,7 @@ def bronze_table(name: str) -> Query:
 
 
 def silver_dimension(name: str) -> Query:
-    return on_layers(lambda layers: silver.dimension(name, bronze.candidates(name, layers.prepared())))
+    return on_layers(lambda layers: silver.dimension(name, layers.bronze(name)))
 
 
 def silver_fact(name: str) -> Query:
@@ -128,6 +128,11 @@ def gold_locations(layers: StarWarehouse, by_month: bool) -> DataFrame:
 
 # ---- read side ----
 
+def _stored_months(layers: StarWarehouse) -> DataFrame:
+    layers.bronze("booking")
+    return dashboard.available_months(layers.store)
+
+
 def _daily(layers: StarWarehouse) -> DataFrame:
     return layers.gold("daily_booking_summary").drop("extraction_month")
 
@@ -198,7 +203,7 @@ def all_queries() -> dict[str, Query]:
         queries[f"gold_{name}"] = on_layers(partial(build, by_month=False))
         queries[f"gold_{name}_by_month"] = on_layers(partial(build, by_month=True))
     queries |= {
-        "dash_months": on_layers(lambda w: dashboard.available_months(w.bronze("booking"))),
+        "dash_months": on_layers(_stored_months),
         "dash_filter_direct": on_layers(lambda w: dashboard.filter_direct(w.bronze("ride"), MONTH)),
         "dash_filter_booking_id": on_layers(lambda w: dashboard.filter_month(
             w.silver("ride"), "silver", "ride", MONTH, w.bronze("booking")).drop("ride_id")),

@@ -5,12 +5,16 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 from functools import reduce
+from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.schemas import view_name
+from kerbside.session import shared_folder
+from kerbside.sources.files import delete_tree
 from kerbside.sources.warehouse import Warehouse
 
 LISTING_VIEW = "table_listing"
@@ -29,13 +33,13 @@ SAMPLES: dict[str, str] = {
         FROM gold_customer_analytics ORDER BY total_bookings DESC, customer_id LIMIT 10""",
     "revenue_by_vehicle": """
         SELECT vehicle_type_name, SUM(total_bookings) AS total_bookings,
-               CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+               CAST(SUM(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
                ROUND(AVG(avg_booking_value), 6) AS avg_booking_value
         FROM gold_daily_booking_summary GROUP BY vehicle_type_name
         ORDER BY total_revenue DESC, vehicle_type_name""",
     "bookings_by_status": """
         SELECT booking_status_name, SUM(total_bookings) AS total_bookings,
-               CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+               CAST(SUM(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue
         FROM gold_daily_booking_summary GROUP BY booking_status_name
         ORDER BY total_bookings DESC, booking_status_name""",
     "top_locations": """
@@ -43,7 +47,7 @@ SAMPLES: dict[str, str] = {
         FROM gold_location_analytics ORDER BY total_activity DESC, name LIMIT 15""",
     "daily_trends": """
         SELECT date, SUM(total_bookings) AS daily_bookings,
-               CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS daily_revenue
+               CAST(SUM(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) AS daily_revenue
         FROM gold_daily_booking_summary GROUP BY date ORDER BY date DESC""",
     "customers": """
         SELECT customer_id, first_seen_date, last_seen_date, total_bookings
@@ -51,7 +55,7 @@ SAMPLES: dict[str, str] = {
     "raw_bookings": """
         SELECT * FROM bronze_booking ORDER BY booking_id, extraction_month LIMIT 50""",
     "revenue_by_vehicle_short": """
-        SELECT vehicle_type_name, CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+        SELECT vehicle_type_name, CAST(SUM(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) AS revenue,
                SUM(total_bookings) AS bookings
         FROM gold_daily_booking_summary GROUP BY vehicle_type_name
         ORDER BY revenue DESC, vehicle_type_name""",
@@ -63,7 +67,7 @@ SAMPLES: dict[str, str] = {
 
 @dataclass(frozen=True)
 class SqlResult:
-    """What a query gave: rows or the error text, and its metrics."""
+    """What a query gave: its stored rows or the error text, and its metrics."""
 
     frame: DataFrame | None
     error: str | None
@@ -73,12 +77,13 @@ class SqlResult:
 
 
 def register_views(warehouse: Warehouse) -> list[str]:
-    """One lazy view ``<layer>_<table>`` per stored table; nothing is loaded."""
-    names = []
-    for layer, table in warehouse.tables():
-        names.append(view_name(layer, table))
-        warehouse.read(layer, table).createOrReplaceTempView(names[-1])
-    return names
+    """One lazy view ``<layer>_<table>`` per stored table, and their listing; nothing is loaded."""
+    stored = {(layer, table): warehouse.read(layer, table) for layer, table in warehouse.tables()}
+    for (layer, table), df in stored.items():
+        df.createOrReplaceTempView(view_name(layer, table))
+    if stored:
+        table_listing(stored).createOrReplaceTempView(LISTING_VIEW)
+    return [view_name(*key) for key in stored]
 
 
 def table_listing(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
@@ -105,14 +110,28 @@ def sample(spark: SparkSession, name: str) -> DataFrame:
 
 
 def run_sql(spark: SparkSession, text: str) -> SqlResult:
-    """Run any Spark SQL over the views; errors come back as text."""
+    """Run any Spark SQL over the views once, all its columns; errors come back as text.
+
+    The rows are written to the shared folder while they are counted, in the
+    result's order, and ``frame`` reads them from there.
+    """
     started = time.monotonic()
+    path = f"{shared_folder(spark)}/kerbside/sql-{uuid4().hex}"
     try:
         frame = spark.sql(text)
-        rows = frame.count()
-    except PySparkException as error:
+        seen = Observation()
+        # Names may repeat or be empty in a result, but not in a file.
+        plain = frame.toDF(*[f"c{i}" for i in range(len(frame.columns))]).observe(seen, F.count(F.lit(1)).alias("rows"))
+        if plain.columns:
+            plain.withColumns({c: F.col(c).cast("string") for c, kind in plain.dtypes if kind == "void"}).write.parquet(path)
+        rows = seen.get["rows"] if plain.columns else 0
+    except (PySparkException, Py4JJavaError) as error:
+        delete_tree(spark, path)
         return SqlResult(None, str(error), None, None, time.monotonic() - started)
-    return SqlResult(frame, None, rows, len(frame.columns), time.monotonic() - started)
+    if not plain.columns:
+        return SqlResult(frame, None, rows, 0, time.monotonic() - started)
+    stored = spark.read.parquet(path).toDF(*frame.columns)
+    return SqlResult(stored, None, rows, len(frame.columns), time.monotonic() - started)
 
 
 def export_csv(df: DataFrame, folder: str) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.operators.settle import settle
 from kerbside.plans import gold, silver
-from kerbside.plans.bronze import candidates, extract
+from kerbside.plans.bronze import extract
 from kerbside.schemas import TABLES
 from kerbside.session import shared_folder
 from kerbside.sources.files import version_of
@@ -44,12 +44,13 @@ class StarWarehouse:
 
     def _build(self, layer: str, table: str) -> None:
         if layer == "bronze":
-            self.store.replace_months(extract(table, self.prepared()), table)
+            months = [r[0] for r in self.prepared().select("extraction_month").distinct().collect()]  # calendar months
+            self.store.replace_months(extract(table, self.prepared()), table, months)
             return
         if layer == "gold":
             rows = self._gold(table)
         elif table in silver.NAMED_DIMENSIONS:
-            rows = silver.dimension(table, candidates(table, self.prepared()))
+            rows = silver.dimension(table, self.bronze(table))
         elif table == "customer":
             rows = silver.customer(self.bronze("booking"))
         elif table == "booking":

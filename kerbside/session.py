@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SPREAD_CONF = "kerbside.spreadScansTo"
 
 
 def build_session(app: str = "kerbside", master: str | None = None, **conf: str) -> SparkSession:
@@ -30,6 +31,12 @@ def build_session(app: str = "kerbside", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def spread_setting(spark: SparkSession) -> int | None:
+    """Over how many tasks unsplittable inputs are redistributed, if the session asks for it."""
+    value = spark.conf.get(SPREAD_CONF, None)
+    return int(value) if value else None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

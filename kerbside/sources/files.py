@@ -30,6 +30,22 @@ def version_of(spark: SparkSession, path: str) -> tuple[int, int]:
     return system.getFileStatus(target).getModificationTime(), system.getContentSummary(target).getLength()
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob pattern names anything."""
+    system, target = _status(spark, pattern)
+    found = system.globStatus(target)
+    return found is not None and len(found) > 0
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder to one that is not there yet."""
+    system, source = _status(spark, path)
+    _, new = _status(spark, target)
+    system.mkdirs(new.getParent())
+    if system.exists(new) or not system.rename(source, new):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     """Remove a folder of this program's own making, such as a run's staged rows."""
     system, target = _status(spark, path)

@@ -44,9 +44,9 @@ def with_file_order(scan: DataFrame) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | Sequence[str], *, spread_to: int | None = None) -> DataFrame:
     """All columns as text, header names trimmed, doubled quotes decoded."""
-    return spread(with_file_order(spark.read.options(**CSV_OPTIONS).csv(path)))
+    return spread(with_file_order(spark.read.options(**CSV_OPTIONS).csv(path)), spread_to)
 
 
 def tidy(raw: DataFrame) -> DataFrame:

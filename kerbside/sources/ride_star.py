@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from kerbside.functions.calendar import month_start, next_month_start
 from kerbside.operators.spread import spread
 from kerbside.schemas import SOURCE_COLUMNS
+from kerbside.session import spread_setting
 from kerbside.sources.ride_csv import ORDER_PREFIX
 
 # The mapping from the sales tables, valid in Spark SQL and ANSI SQL.
@@ -75,7 +76,7 @@ def joined_lines(spark: SparkSession, sf_dir: str, month: str | None = None) ->
         lines = lines.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < end))
     lines = spread(lines.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"), spread_setting(spark))
     nations = table("nation").select("n_nationkey", "n_name")
     buyers = table("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "c_mktsegment", F.col("n_name").alias("customer_nation"))

@@ -2,24 +2,27 @@
 
 Bronze is partitioned by ``extraction_month``.  Every write conforms the rows
 to the declared schema and returns how many rows it wrote, observed during the
-write itself.
+write itself.  What replaces stored rows is written whole beside them first and
+then takes their place by renaming folders: a write that fails leaves them as
+they were.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.operators.settle import settled
 from kerbside.operators.upsert import insert_new, upsert
 from kerbside.schemas import AUDIT_COLUMNS, all_tables, schema_of
-from kerbside.sources.files import child_names, path_exists
+from kerbside.sources.files import child_names, delete_tree, move, path_exists
 
 MONTH = "extraction_month"
 
@@ -84,7 +87,7 @@ class Warehouse:
     def create(self, layer: str, table: str) -> None:
         """Store an empty table if there is none; an existing one is left alone."""
         if not self.exists(layer, table):
-            self._store(self.spark.createDataFrame([], schema_of(layer, table)), self.path(layer, table), "overwrite",
+            self._store(self.spark.createDataFrame([], schema_of(layer, table)), self.path(layer, table), "append",
                         by_month=layer == "bronze")
 
     def append(self, df: DataFrame, layer: str, table: str) -> int:
@@ -94,38 +97,58 @@ class Warehouse:
         return self._store(conform(df, schema_of(layer, table)), self.path(layer, table), "append",
                            by_month=layer == "bronze")
 
+    def _aside(self, layer: str, table: str) -> str:
+        """A new folder below the root; names with a leading underscore are no tables."""
+        return f"{self.root}/_writing/{layer}-{table}-{uuid4().hex}"
+
+    def _swap(self, new: str | None, target: str) -> None:
+        """``new`` in the place of ``target``; without ``new`` the target goes."""
+        old = self._aside("replaced", "folder")
+        had = path_exists(self.spark, target)
+        if had:
+            move(self.spark, target, old)
+        try:
+            if new is not None:
+                move(self.spark, new, target)
+        except Exception:
+            if had:
+                move(self.spark, old, target)
+            raise
+        if had:
+            delete_tree(self.spark, old)
+
     def overwrite(self, df: DataFrame, layer: str, table: str, *, keep_on_empty: bool = False) -> int:
         """Replace a table.  An empty result empties it, unless ``keep_on_empty``."""
         rows = conform(df, schema_of(layer, table))
-        if not keep_on_empty:
-            return self._store(rows, self.path(layer, table), "overwrite", by_month=layer == "bronze")
-        with settled(rows, table) as stored:
-            return 0 if stored.isEmpty() else self.overwrite(stored, layer, table)
-
-    def replace_month(self, df: DataFrame, table: str, month: str) -> int:
-        """Replace one month of a Bronze table, also when the month has no rows.
+        new = self._aside(layer, table)
+        written = self._store(rows, new, "errorifexists", by_month=layer == "bronze")
+        if written == 0 and keep_on_empty:
+            delete_tree(self.spark, new)
+        else:
+            self._swap(new, self.path(layer, table))
+        return written
 
-        Writing into the month's own folder needs no knowledge of the rest of
-        the table, and running a load again leaves the same rows.
-        """
-        rows = conform(df, schema_of("bronze", table)).where(F.col(MONTH) == month).drop(MONTH)
-        return self._store(rows, f"{self.path('bronze', table)}/{MONTH}={month}", "overwrite")
+    def stage_months(self, df: DataFrame, table: str) -> StagedMonths:
+        """Write the rows of some months of a Bronze table beside it, by month; nothing is replaced yet."""
+        path = self._aside("bronze", table)
+        rows = self._store(conform(df, schema_of("bronze", table)), path, "errorifexists", by_month=True)
+        return StagedMonths(self, table, path, rows)
 
-    def replace_months(self, df: DataFrame, table: str) -> int:
-        """Replace the months that occur in ``df``, all in one write.
+    def replace_months(self, df: DataFrame, table: str, months: Sequence[str]) -> int:
+        """Replace the given months of a Bronze table, also those without a row in ``df``."""
+        staged = self.stage_months(df.where(F.col(MONTH).isin(list(months))), table)
+        staged.put(months)
+        return staged.rows
 
-        Rows are rebalanced by month first: small months share a file writer, a
-        month too large for one is split by adaptive execution.
-        """
-        rows = conform(df, schema_of("bronze", table)).hint("rebalance", MONTH)
-        return self._store(rows, self.path("bronze", table), "overwrite", by_month=True, dynamic=True)
+    def replace_month(self, df: DataFrame, table: str, month: str) -> int:
+        """Replace one month of a Bronze table, also when the month has no rows."""
+        return self.replace_months(df, table, [month])
 
     def upsert(self, updates: DataFrame, layer: str, table: str, keys: Sequence[str],
                newest_first: Sequence[str | Column]) -> int:
-        """Merge by key, latest wins.  The result is settled before it replaces its own input."""
+        """Merge by key, latest wins.  The result is written whole before it replaces its own input."""
         merged = upsert(self.read(layer, table), conform(updates, schema_of(layer, table)), keys, newest_first)
-        with settled(merged, table) as stored:
-            return self.overwrite(stored, layer, table)
+        return self.overwrite(merged, layer, table)
 
     def add_new(self, df: DataFrame, table: str, keys: Sequence[str], months: Sequence[str]) -> int:
         """Append the rows whose key is not stored yet in their month.
@@ -141,12 +164,35 @@ class Warehouse:
         """Bronze rows loaded up to a month; Silver and Gold built on them show that state."""
         return self.read("bronze", table, where=F.col(MONTH) <= month)
 
-    def _store(self, df: DataFrame, path: str, mode: str, *, by_month: bool = False, dynamic: bool = False) -> int:
+    def _store(self, df: DataFrame, path: str, mode: str, *, by_month: bool = False) -> int:
+        """By month, rows are rebalanced first: small months share a file writer, and a month too large for one is
+        split by adaptive execution.  Otherwise every task would write a file per month."""
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-        if by_month:
-            writer = writer.partitionBy(MONTH)
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.parquet(path)
+        rows = df.hint("rebalance", MONTH) if by_month else df
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        (writer.partitionBy(MONTH) if by_month else writer).parquet(path)
         return seen.get["rows"]
+
+
+@dataclass(frozen=True)
+class StagedMonths:
+    """Rows of a Bronze table written beside it, to take the place of the months they belong to."""
+
+    warehouse: Warehouse
+    table: str
+    path: str
+    rows: int
+
+    def put(self, months: Sequence[str]) -> None:
+        """Swap in these months; one that has no rows here is emptied.  Only folders are renamed."""
+        spark, target = self.warehouse.spark, self.warehouse.path("bronze", self.table)
+        if not self.warehouse.exists("bronze", self.table):
+            self.warehouse.create("bronze", self.table)
+        here = set(child_names(spark, self.path))
+        for month in months:
+            name = f"{MONTH}={month}"
+            self.warehouse._swap(f"{self.path}/{name}" if name in here else None, f"{target}/{name}")
+        self.discard()
+
+    def discard(self) -> None:
+        delete_tree(self.warehouse.spark, self.path)

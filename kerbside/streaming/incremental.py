@@ -28,7 +28,8 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType | None =
 
 
 def ingest(spark: SparkSession, folder: str, warehouse_root: str, progress_folder: str, *,
-           extraction_date: date | None = None, schema: T.StructType | None = None) -> None:
+           extraction_date: date | None = None, schema: T.StructType | None = None,
+           on_bad_date: str = "reject") -> None:
     """Load every file not loaded before, then stop.
 
     The progress folder records which files were taken.  A batch repeated after
@@ -40,7 +41,7 @@ def ingest(spark: SparkSession, folder: str, warehouse_root: str, progress_folde
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rows = tidy(batch.withColumn(f"{ORDER_PREFIX}2", F.monotonically_increasing_id()))
-        load_tidied(warehouse, rows, extraction_date, label=f"batch-{batch_id}", mode="add_new")
+        load_tidied(warehouse, rows, extraction_date, label="followed", mode="add_new", on_bad_date=on_bad_date)
 
     query = (
         file_stream(spark, folder, schema).writeStream
@@ -51,7 +52,8 @@ def ingest(spark: SparkSession, folder: str, warehouse_root: str, progress_folde
 
 
 def ingest_and_refresh(spark: SparkSession, folder: str, warehouse_root: str, progress_folder: str, *,
-                       extraction_date: date | None = None, run_ts: datetime | None = None) -> dict[str, Counts]:
+                       extraction_date: date | None = None, on_bad_date: str = "reject",
+                       run_ts: datetime | None = None) -> dict[str, Counts]:
     """Load the new files, then rebuild Silver and Gold once."""
-    ingest(spark, folder, warehouse_root, progress_folder, extraction_date=extraction_date)
+    ingest(spark, folder, warehouse_root, progress_folder, extraction_date=extraction_date, on_bad_date=on_bad_date)
     return backfill(spark, warehouse_root, run_ts=run_ts)

@@ -17,6 +17,8 @@ from kerbside.operators.profile import column_profile, describe, table_size
 from kerbside.operators.quantiles import exact_quantiles
 from kerbside.operators.spread import spread
 from kerbside.operators.upsert import insert_new, upsert
+from kerbside.session import shared_folder
+from kerbside.sources.files import child_names
 
 
 def hot_rows(n=600, seed=1):
@@ -143,6 +145,27 @@ def test_numbers_and_dates(spark):
         (1.5, date(2024, 2, 29)), (None, None), (None, None), (1000.0, None), (-2.0, None)]
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    assert spread(spark.range(0, 10, 1, 64)).rdd.getNumPartitions() == 64
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_date_spellings(spark):
+    good = ["2024-03-01", "2024/03/01", "2024-03-01 00:00:00", "2024-03-01T12:30", "2024-03-01 23:59:59.123"]
+    bad = ["2024-03/01", "2024-02-30", "2024-03-01 later", "01-03-2024", ""]
+    df = spark.createDataFrame([(t,) for t in good + bad], "d string")
+    assert [r[0] for r in df.select(to_date(F.col("d"))).collect()] == [date(2024, 3, 1)] * 5 + [None] * 5
+
+
+def test_spread_is_the_callers_choice(spark):
+    assert spread(spark.range(0, 10, 1, 3), None).rdd.getNumPartitions() == 3
+    assert spread(spark.range(0, 10, 1, 1), 5).rdd.getNumPartitions() == 5
+
+
+def test_small_amounts_count(spark):
+    df = spark.createDataFrame([(0.004,)] * 1000 + [(0.125,), (-0.001,), (None,)], "v double")
+    assert tuple(df.agg(money_sum(F.col("v")), money_avg(F.col("v"))).first()) == (4.124, 4.124 / 1002)
+    wide = spark.createDataFrame([(1e12 + 0.25,)] * 500 + [(-3e11,)], "v double")
+    assert wide.agg(money_sum(F.col("v"))).first()[0] == 500 * (1e12 + 0.25) - 3e11
+    odd = spark.createDataFrame([(1.0,), (float("inf"),)], "v double")
+    assert odd.agg(money_sum(F.col("v"))).first()[0] == float("inf")
+
+
+def test_described_values_leave_nothing_behind(spark):
+    describe(spark.range(100)).collect()
+    assert [n for n in child_names(spark, f"{shared_folder(spark)}/kerbside") if n.startswith("quantiles")] == []

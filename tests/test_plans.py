@@ -76,3 +76,27 @@ def test_no_query_crosses_tables(spark):
                  "gold_location_analytics_by_month", "dash_filter_location_name"):
         plan = plan_of(all_queries()[name](spark, SF_DIR))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+
+
+def test_marts_move_lines_once(spark):
+    """With every join shuffled: lines cross one exchange, by their order; the mart's own rows are not lines."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("mart_customer_sales", "mart_customer_category", "mart_referral_revenue"):
+            plan = plan_of(all_queries()[name](spark, SF_DIR))
+            dealt = re.findall(r"Exchange hashpartitioning\(order_id#\d+L?[^)]*\), REPARTITION", plan)
+            assert dealt and not re.search(r"hashpartitioning\(order_id#\d+L?, (year|month)", plan), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_months_come_from_folder_names(spark):
+    layers = star_warehouse(spark, SF_DIR)
+    layers.bronze("booking")
+    assert "FileScan" not in plan_of(dashboard.available_months(layers.store))
+
+
+def test_frequent_customers_meet_a_filter_once(spark):
+    plan = plan_of(all_queries()["dash_filter_customer_id"](spark, SF_DIR))
+    assert re.search(r"HashAggregate\(keys=\[customer_id", plan)
