@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by learned partitions.
 
 A bounded sample of the vectors gives a neighbour graph; recursive spectral bisection cuts it into parts of equal
-size with few edges between them; a small network learns to tell a vector's part.  Every vector is indexed under
-its most probable part, queries are routed to several, and the candidates met there are ranked by exact cosine.
+size with few edges between them; a small network learns to tell a vector's part, and every vector is indexed under
+its most probable one.  A second network learns in which parts a vector's neighbours ended up; it routes queries to
+the most probable of these, and the candidates met there are ranked by exact cosine.
 
 Equal vectors are one entry with its smallest ids, so copies of a frequent vector cannot fill a part.  A part's
 entries and queries are cut into blocks; a task compares one block with one block.
@@ -33,10 +34,10 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 def neighbour_graph(vectors: np.ndarray, k: int) -> np.ndarray:
     """The k nearest rows by cosine of each row but itself (row numbers)."""
     near = np.empty((len(vectors), k), np.int64)
-    for start in range(0, len(vectors), 1024):
-        cosine = vectors[start:start + 1024] @ vectors.T
+    for start in range(0, len(vectors), 512):
+        cosine = vectors[start:start + 512] @ vectors.T
         cosine[np.arange(len(cosine)), start + np.arange(len(cosine))] = -np.inf
-        near[start:start + 1024] = np.argpartition(cosine, cosine.shape[1] - k, axis=1)[:, -k:]
+        near[start:start + 512] = np.argpartition(cosine, cosine.shape[1] - k, axis=1)[:, -k:]
     return near
 
 
@@ -156,13 +157,12 @@ def _compare(most: int):
         out = []
         for start in range(0, len(asked), 512):
             block = asked[start:start + 512]
-            cosine = (block @ rows.T) / (np.linalg.norm(block, axis=1)[:, None] * rows_norm)
-            if cosine.shape[1] > most:
-                bar = np.partition(cosine, cosine.shape[1] - most, axis=1)[:, -most]
-                q, r = np.nonzero(cosine >= bar[:, None])
-            else:
-                q, r = (i.ravel() for i in np.indices(cosine.shape))
-            s = cosine[q, r]
+            block_norm = np.linalg.norm(block, axis=1)
+            cosine = (block @ rows.T) / (block_norm[:, None] * rows_norm)
+            bar = np.partition(cosine, max(0, cosine.shape[1] - most), axis=1)[:, max(0, cosine.shape[1] - most)]
+            # Matrix products round in the order of their blocks; what may be among the best is summed again.
+            q, r = np.nonzero(cosine >= bar[:, None] - 1e-12)
+            s = np.einsum("ij,ij->i", block[q], rows[r]) / (block_norm[q] * rows_norm[r])
             order = np.lexsort((first_id[r], -s, q))
             q, r, s = q[order], r[order], s[order]
             rank = np.arange(len(q)) - np.searchsorted(q, q)
@@ -179,10 +179,10 @@ class PartitionIndex:
 
     entries: DataFrame  # node, first_id, ids, v (packed doubles), part, block
     members: DataFrame  # vec_id, node of every usable row
-    router: Router
+    router: Router  # to the parts where a vector's neighbours are
     per_node: int
 
-    def search(self, query_ids: DataFrame, k: int = 5, probes: int = 8, block: int = _BLOCK) -> DataFrame:
+    def search(self, query_ids: DataFrame, k: int = 5, probes: int = 44, block: int = _BLOCK) -> DataFrame:
         """query_id, rank, vec_id, score: for each distinct id of ``query_ids`` (vec_id) its k nearest found, itself
         left out, by exact cosine in doubles, ties to the smaller id."""
         if k >= self.per_node:
@@ -218,7 +218,7 @@ def _cuts(rows: DataFrame, block: int) -> DataFrame:
     return rows.groupBy("part").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("cuts"))
 
 
-def build_index(table: DataFrame, key: str = "vec_id", column: str = "embedding", levels: int = 5, sample: int = 8192,
+def build_index(table: DataFrame, key: str = "vec_id", column: str = "embedding", levels: int = 6, sample: int = 16_384,
                 graph_k: int = 10, per_node: int = 6) -> PartitionIndex:
     """Index every usable row: 2**levels parts learned from ``sample`` vectors chosen by hash.
 
@@ -242,12 +242,13 @@ def build_index(table: DataFrame, key: str = "vec_id", column: str = "embedding"
     depth = int(np.log2(parts))
     if depth:
         near = neighbour_graph(vectors, min(graph_k, len(vectors) - 1))
-        part = balanced_parts(near, depth)
-        targets = np.eye(1 << depth)[part] + np.eye(1 << depth)[part[near]].mean(axis=1)
-        router = train_router(vectors, targets / targets.sum(axis=1, keepdims=True))
+        part, each = balanced_parts(near, depth), np.eye(1 << depth)
+        indexer = train_router(vectors, (each[part] + each[part[near]].mean(axis=1)) / 2)
+        indexed = indexer.best(vectors, 1)[:, 0]
+        router = train_router(vectors, each[indexed[near]].mean(axis=1))
     else:
-        router = Router(np.zeros((max(dim, 1), 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
-    routed = packed.mapInArrow(_route(session.sparkContext.broadcast(router), 1),
+        indexer = router = Router(np.zeros((max(dim, 1), 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
+    routed = packed.mapInArrow(_route(session.sparkContext.broadcast(indexer), 1),
                                "node long, first_id long, ids array<long>, v binary, parts array<int>")
     entries = stored(routed.select("node", "first_id", "ids", "v", F.col("parts")[0].alias("part")), "parts")
     return PartitionIndex(entries, members.select("vec_id", "node"), router, per_node)

@@ -15,7 +15,7 @@ from kerbside.llm.expected_sql import EXPECTED_SQL
 from kerbside.llm.scratch import scratch_path
 from kerbside.sources.ride_star import read_table
 
-PROBES = 16  # parts of 32 that a query of op9 looks into
+PROBES = 44  # parts of 64 that a query of op9 looks into
 __all__ = ["EXPECTED_SQL", "QUERIES"]
 Query = Callable[[SparkSession, str], DataFrame]
 
