@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import json
+import os
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 from tokenizers import Tokenizer
 
+# A task has one core: the library's own threads would only wait for each other and hold memory.
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+_AT_ONCE = 4096  # texts in the library at a time
+_JOINED = 64  # chunks in one of them
+
 
 class ChunkedEncoder:
     """Ids of whole texts, equal to encoding each text whole without begin, end or added special tokens.
@@ -19,27 +26,41 @@ class ChunkedEncoder:
     the library where the tokenizer is of another kind.
     """
 
-    def __init__(self, tokenizer_json: str, keep: int = 250_000):
+    def __init__(self, tokenizer_json: str, keep: int = 300_000):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.code).itemsize
         self.cuts = _cuts_at_blanks(json.loads(tokenizer_json))
         self.keep = keep
+        self.n_bytes = _token_bytes(self.tokenizer) if self.cuts else None
         self.ids: dict[str, bytes | None] = {}
         self.first: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for start in range(0, len(texts), _AT_ONCE)
+                for e in self.tokenizer.encode_batch_fast(texts[start:start + _AT_ONCE], add_special_tokens=False)]
+
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """The same for chunks that may follow each other: joined, and cut by the bytes that each token stands for."""
+        out: list[bytes] = []
+        groups = [chunks[i:i + _JOINED] for i in range(0, len(chunks), _JOINED)]
+        for group, payload in zip(groups, self._encode(["".join(g) for g in groups]), strict=True):
+            token_ends = np.cumsum(self.n_bytes[np.frombuffer(payload, f"<u{self.width}")])
+            chunk_ends = np.cumsum(list(map(len, map(str.encode, group))))
+            cuts = [0, *((np.searchsorted(token_ends, chunk_ends) + 1) * self.width).tolist()]
+            out += [payload[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return out
 
     def payloads(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``width`` bytes."""
         if not self.cuts:
             return self._encode(texts)
         pieces = [text.replace("\n", " \n").split(" ") for text in texts]
-        fresh = set().union(*(p[1:] for p in pieces)).difference(self.ids) if pieces else set()
+        fresh = set().union(*pieces).difference(self.ids)
         clean = [p for p in fresh if _is_clean(p)]
-        self.ids.update(dict.fromkeys(fresh))
-        self.ids.update(zip(clean, self._encode([_raw([p]) for p in clean]), strict=True))
+        self.ids.update(zip(clean, self._encode_chunks([p if p[0] == "\n" else " " + p for p in clean]), strict=True))
+        if len(clean) < len(fresh):
+            self.ids.update(dict.fromkeys(fresh.difference(clean)))
         heads = list({p[0] for p in pieces}.difference(self.first))
         self.first.update(zip(heads, self._encode(heads), strict=True))
         result = [self._joined(p) for p in pieces]
@@ -67,10 +88,18 @@ def _cuts_at_blanks(spec: dict) -> bool:
             and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", [])))
 
 
+def _token_bytes(tokenizer: Tokenizer) -> np.ndarray:
+    """How many bytes of text each id stands for: byte-level tokens have a character per byte, added ones are themselves."""
+    size = tokenizer.get_vocab_size()
+    added = tokenizer.get_added_tokens_decoder()
+    return np.array([len(added[i].content.encode()) if i in added else len(tokenizer.id_to_token(i) or "") for i in range(size)])
+
+
 def _is_clean(piece: str) -> bool:
     """Neither end touches white space, but for one newline in front."""
-    body = piece[1:] if piece[:1] == "\n" else piece
-    return bool(body) and not body[0].isspace() and not body[-1].isspace()
+    if piece[:1] == "\n":
+        piece = piece[1:]
+    return piece != "" and piece.strip() == piece
 
 
 def _raw(pieces: Iterable[str]) -> str:
