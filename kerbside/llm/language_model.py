@@ -23,7 +23,6 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.bit_slices import whole_groups
 from kerbside.llm.scratch import scratch_path
 from kerbside.llm.simhash import SEED, words_of
 
@@ -31,9 +30,10 @@ from kerbside.llm.simhash import SEED, words_of
 END = np.uint64(xxhash.xxh64_intdigest(b" end", SEED))
 START = np.uint64(xxhash.xxh64_intdigest(b" start", SEED))
 
-BITS_PER_NGRAM = 16
+BITS_PER_NGRAM = 12
 PROBE_BITS = 4  # bits of one event, all within one 64-bit word of the filter
-_CHUNK_TOKENS = 1 << 21
+_CHUNK_TOKENS = 1 << 20
+_PROBED_AT_ONCE = 1 << 17
 _COUNTS = "segment int, key long, n long, is_word boolean"
 _SEGMENTS = "segment int, filter binary, words binary, counts binary, tokens long, n_words long, filter_words long"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -148,18 +148,22 @@ def build_filter(keys: np.ndarray, counts: np.ndarray, bits_per_ngram: int = BIT
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in whole_groups(batches, ["segment"], 1 << 18):
-        segment = table.column("segment").to_numpy()
-        key, n = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
-        is_word = table.column("is_word").to_numpy()
+    # A partition has the few segments that its hash gave it; their rows are kept apart as they come.
+    held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+    for batch in batches:
+        segment, key, n = (batch.column(c).to_numpy() for c in ("segment", "key", "n"))
+        is_word = batch.column("is_word").to_numpy(zero_copy_only=False)
         for s in np.unique(segment):
             here = segment == s
-            words, counts = _summed(key[here & is_word], n[here & is_word])
-            pairs, pair_counts = _summed(key[here & ~is_word], n[here & ~is_word])
-            bloom = build_filter(np.r_[words, pairs], np.r_[counts, pair_counts])
-            yield pa.RecordBatch.from_pylist([{
-                "segment": int(s), "filter": bloom.tobytes(), "words": words.tobytes(), "counts": counts.tobytes(),
-                "tokens": int(counts.sum()), "n_words": len(words), "filter_words": len(bloom)}], schema=_SEGMENT_TYPE)
+            held.setdefault(int(s), []).append((key[here].view(np.uint64), n[here], is_word[here]))
+    for s in list(held):
+        key, n, is_word = (np.concatenate(x) for x in zip(*held.pop(s), strict=True))
+        words, counts = _summed(key[is_word], n[is_word])
+        pairs, pair_counts = _summed(key[~is_word], n[~is_word])
+        bloom = build_filter(np.r_[words, pairs], np.r_[counts, pair_counts])
+        yield pa.RecordBatch.from_pylist([{
+            "segment": s, "filter": bloom.tobytes(), "words": words.tobytes(), "counts": counts.tobytes(),
+            "tokens": int(counts.sum()), "n_words": len(words), "filter_words": len(bloom)}], schema=_SEGMENT_TYPE)
 
 
 _SEGMENT_TYPE = pa.schema([("segment", pa.int32()), ("filter", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()),
@@ -173,11 +177,12 @@ class BigramModel:
     path: str
     segments: int
     shards: tuple[tuple[int, int], ...]  # first and last segment
+    sizes: tuple[tuple[int, int], ...]  # of each segment: words of its filter, and distinct words
     tokens: int
     vocabulary: int
 
 
-def train(docs: DataFrame, text: str = "text", segment_bytes: int = 8 << 20, shard_bytes: int = 192 << 20) -> BigramModel:
+def train(docs: DataFrame, text: str = "text", segment_bytes: int = 4 << 20, shard_bytes: int = 64 << 20) -> BigramModel:
     """Count every word and bigram of all texts (null: empty).  One segment per ``segment_bytes`` of text; a shard
     is as many segments as stay below ``shard_bytes``, the bound of what a worker holds of the model."""
     session = docs.sparkSession
@@ -186,17 +191,19 @@ def train(docs: DataFrame, text: str = "text", segment_bytes: int = 8 << 20, sha
     segments = max(1, -(-n_bytes // segment_bytes))
     path = scratch_path(session, "bigrams")
     counts = whole.mapInArrow(_count(segments), _COUNTS)
-    counts.repartition(segments, "segment").sortWithinPartitions("segment").mapInArrow(_build, _SEGMENTS).write.parquet(path)
-    sizes = session.read.schema(_SEGMENTS).parquet(path).select(
-        "segment", "tokens", "n_words", (8 * F.col("filter_words") + 16 * F.col("n_words")).alias("size")).collect()  # no payload
+    counts.repartition(segments, "segment").mapInArrow(_build, _SEGMENTS).write.parquet(path)
+    rows = session.read.schema(_SEGMENTS).parquet(path).select("segment", "tokens", "n_words", "filter_words").collect()  # no payload
+    of = {r["segment"]: r for r in rows}
+    sizes = tuple((of[s]["filter_words"], of[s]["n_words"]) if s in of else (1, 0) for s in range(segments))
     shards, first, held = [], 0, 0
-    for row in sorted(sizes):
-        if held and held + row["size"] > shard_bytes:
-            shards.append((first, row["segment"] - 1))
-            first, held = row["segment"], 0
-        held += row["size"]
+    for segment, (filter_words, n_words) in enumerate(sizes):
+        size = 8 * filter_words + 16 * n_words
+        if held and held + size > shard_bytes:
+            shards.append((first, segment - 1))
+            first, held = segment, 0
+        held += size
     shards.append((first, segments - 1))
-    return BigramModel(path, segments, tuple(shards), sum(r["tokens"] for r in sizes), sum(r["n_words"] for r in sizes))
+    return BigramModel(path, segments, tuple(shards), sizes, sum(r["tokens"] for r in rows), sum(r["n_words"] for r in rows))
 
 
 # ---- scoring ----
@@ -205,26 +212,37 @@ class Shard:
     """Some segments of a model in memory."""
 
     def __init__(self, model: BigramModel, first: int, last: int):
+        sizes = np.array(model.sizes[first:last + 1], np.int64)
+        self.first, (self.sizes, n_words) = first, sizes.T
+        self.starts, self.word_starts = (np.cumsum(n) - n for n in (self.sizes, n_words))
+        self.n_words = n_words
+        self.filter = np.zeros(int(self.sizes.sum()), np.uint64)
+        self.words, self.counts = np.empty(int(n_words.sum()), np.uint64), np.empty(int(n_words.sum()), np.int64)
         system, path = fs.FileSystem.from_uri(model.path)
-        rows = ds.dataset(path, filesystem=system, format="parquet").to_table(
-            filter=(ds.field("segment") >= first) & (ds.field("segment") <= last),
-            columns=["segment", "filter", "words", "counts"]).sort_by("segment").to_pydict()
-        blocks = {s: np.frombuffer(b, np.uint64) for s, b in zip(rows["segment"], rows["filter"], strict=True)}
-        empty = np.zeros(1, np.uint64)
-        ordered = [blocks.get(s, empty) for s in range(first, last + 1)]
-        self.first, self.sizes = first, np.array([len(b) for b in ordered], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.filter = np.concatenate(ordered)
-        words = np.concatenate([np.frombuffer(b, np.uint64) for b in rows["words"]] or [empty[:0]])
-        counts = np.concatenate([np.frombuffer(b, np.int64) for b in rows["counts"]] or [np.empty(0, np.int64)])
-        order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order]
-
-    def exact(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(self.words, keys), len(self.words) - 1)
-        return np.where(self.words[at] == keys, self.counts[at], 0)
+        wanted = (ds.field("segment") >= first) & (ds.field("segment") <= last)
+        columns = ["segment", "filter", "words", "counts"]
+        # Row by row into the arrays: no second copy of the shard.
+        for batch in ds.dataset(path, filesystem=system, format="parquet").to_batches(
+                filter=wanted, columns=columns, batch_size=1, batch_readahead=1, fragment_readahead=1, use_threads=False):
+            for segment, *parts in zip(*(batch.column(c) for c in columns), strict=True):
+                i = segment.as_py() - first
+                for target, start, part in zip((self.filter, self.words, self.counts),
+                                               (self.starts[i], self.word_starts[i], self.word_starts[i]), parts, strict=True):
+                    values = np.frombuffer(part.as_buffer(), target.dtype)
+                    target[start:start + len(values)] = values
+
+    def exact(self, keys: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """Counts of distinct, sorted keys: each segment's words are sorted too."""
+        found = np.zeros(len(keys), np.int64)
+        order = np.argsort(segment, kind="stable")
+        cuts = np.searchsorted(segment[order], np.arange(self.first, self.first + len(self.sizes) + 1))
+        for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            words = self.words[self.word_starts[i]:self.word_starts[i] + self.n_words[i]]
+            if hi > lo and len(words):
+                rows = order[lo:hi]
+                at = np.minimum(np.searchsorted(words, keys[rows]), len(words) - 1)
+                found[rows] = np.where(words[at] == keys[rows], self.counts[self.word_starts[i]:][at], 0)
+        return found
 
     def quantised(self, keys: np.ndarray, segment: np.ndarray) -> np.ndarray:
         """How many events of each key the filter has, from the first on: probes go on until one misses."""
@@ -266,9 +284,11 @@ def _look_up(model: BigramModel, keys: np.ndarray, exact: bool) -> tuple[np.ndar
     for bounds in model.shards:
         rows = np.flatnonzero((segment >= bounds[0]) & (segment <= bounds[1])) if len(model.shards) > 1 else slice(None)
         shard = _shard(model, bounds)
-        levels[rows] = shard.quantised(keys[rows], segment[rows])
+        own_keys, own_segment = keys[rows], segment[rows]
+        levels[rows] = np.concatenate([shard.quantised(own_keys[i:i + _PROBED_AT_ONCE], own_segment[i:i + _PROBED_AT_ONCE])
+                                       for i in range(0, len(own_keys), _PROBED_AT_ONCE)] or [levels[:0]])
         if exact:
-            counts[rows] = shard.exact(keys[rows])
+            counts[rows] = shard.exact(own_keys, own_segment)
     return levels, counts
 
 
