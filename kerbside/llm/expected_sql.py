@@ -40,11 +40,11 @@ EXPECTED_SQL: dict[str, str] = {
         ), common as (
             select doc_id, n, w.item_id, w.m, start, sum(least(w.c, i.c)) as common
             from in_window w join in_item i on i.item_id = w.item_id and i.s = w.s group by all
-        ), similar as (
+        ), alike as (
             select doc_id, item_id, start, common / (least(m, n - start) - 4 + m - 4 - common) as similarity from common
         )
         select doc_id, item_id, cast(start as int) as window_start, round(similarity, 9) as similarity
-        from similar where similarity >= 0.8
+        from alike where similarity >= 0.8
         qualify row_number() over (partition by doc_id, item_id order by similarity desc, start) = 1""",
     "op7_license_scan": rf"""
         with template as (
