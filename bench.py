@@ -16,11 +16,12 @@ import tempfile
 import time
 
 from kerbside.operators.settle import settled
-from kerbside.plans.jobs import bronze_load, gold_refresh, silver_refresh
+from kerbside.plans.jobs import bronze_load, gold_refresh, load_file, silver_refresh
 from kerbside.plans.registry import all_queries
+from kerbside.schemas import SOURCE_COLUMNS
 from kerbside.session import SPREAD_CONF, build_session
 from kerbside.sources.ride_csv import stamp
-from kerbside.sources.ride_star import ride_source
+from kerbside.sources.ride_star import raw_rides, ride_source
 from kerbside.sources.warehouse import Warehouse
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -39,14 +40,20 @@ def compute(df) -> None:
 
 
 def job_times(spark) -> dict[str, float]:
-    """Bronze, Silver and Gold from the input tables into an empty warehouse."""
+    """Bronze from CSV files, and Bronze, Silver and Gold from the input tables, into empty warehouses."""
     warehouse = Warehouse(spark, tempfile.mkdtemp(prefix="bench-"))
 
+    texts = tempfile.mkdtemp(prefix="bench-csv-")
+    raw_rides(spark, SF_DIR).select(*[header for header, _, _ in SOURCE_COLUMNS]).write.mode("overwrite").option(
+        "header", True).option("escape", '"').csv(texts)
+    from_files = Warehouse(spark, tempfile.mkdtemp(prefix="bench-"))
+
     def load() -> None:
         with settled(stamp(ride_source(spark, SF_DIR), None), "prepared") as prepared:
             bronze_load(warehouse, prepared)
 
     return {
+        "job_csv_load": seconds(lambda: load_file(from_files, texts, None)),
         "job_bronze_load": seconds(load),
         "job_silver_refresh": seconds(lambda: silver_refresh(warehouse)),
         "job_gold_refresh": seconds(lambda: gold_refresh(warehouse)),
