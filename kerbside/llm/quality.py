@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.simhash import words_of
 
-N_TRIGRAMS = 4096
+N_TRIGRAMS = 2048
 _RATIOS = 12  # steps of a share
 _LENGTHS = 24  # powers of two
 N_TERMS = N_TRIGRAMS + 2 * _RATIOS + _LENGTHS
@@ -84,6 +84,14 @@ class Voters:
         return np.clip(((weight * self.labels[near]).sum(axis=1) + 1e-6 * self.labels.mean()) / total, 0.0, 1.0)
 
 
+def _leading_vectors(rows: np.ndarray, rank: int, rounds: int = 8) -> np.ndarray:
+    """Right singular vectors of the largest singular values, by subspace iteration from a fixed start."""
+    basis = np.random.default_rng(5).standard_normal((rows.shape[1], rank)).astype(np.float32)
+    for _ in range(rounds):
+        basis, _ = np.linalg.qr(rows.T @ (rows @ basis)) if len(rows) else np.linalg.qr(basis)
+    return basis
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
@@ -105,9 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     rows.sort(key=lambda r: r["doc_id"])
     terms = np.stack([np.frombuffer(r["terms"], np.float16) for r in rows]).astype(np.float32) if rows else np.zeros((0, N_TERMS), np.float32)
     idf = np.log((1 + len(terms)) / (1 + (terms > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-    weighted = terms * idf
-    _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64)) if len(terms) else (None, np.eye(N_TERMS))
-    projection = (vectors[:, ::-1][:, :rank] * idf[:, None]).astype(np.float32)
+    projection = _leading_vectors(terms * idf, rank) * idf[:, None]
     return Voters(projection, _unit(terms @ projection), np.array([r["label"] for r in rows], np.float32), neighbours, sharpness)
 
 
