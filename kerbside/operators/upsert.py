@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from kerbside.operators.keep_first import keep_first
 
