@@ -36,8 +36,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def removed(spark: SparkSession, path: str) -> None:
-    """Drop a scratch table that no result reads any more."""
-    delete_tree(spark, path)

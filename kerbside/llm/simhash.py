@@ -70,6 +70,7 @@ def near_fingerprint_groups(docs: DataFrame, size: int = 5, radius: int = 2, blo
     rooted = first.join(roots, "fingerprint")
     smallest = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     joined = rooted.join(smallest, "root").select("fingerprint", "component_id")
-    named = first.join(joined, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component_id", "first_doc").alias("component_id"))
+    # Stored, so that the last join has a shuffle on either side that can be split at a frequent fingerprint.
+    named = stored(first.join(joined, "fingerprint", "left").select(
+        "fingerprint", F.coalesce("component_id", "first_doc").alias("component_id")), "named-fingerprints")
     return of_docs.join(named, "fingerprint").select("doc_id", hex16(F.col("fingerprint")).alias("fingerprint"), "component_id")
