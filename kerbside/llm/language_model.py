@@ -1,8 +1,9 @@
 """Log-probabilities of texts under a bigram model whose counts live in a log-frequency Bloom filter.
 
 Counting: tasks add up word and bigram hashes before anything is shuffled; the sums are dealt to segments by hash.
-Each segment becomes a Bloom filter of its own, sized by the n-grams it got, that holds n-gram x with quantised
-count q as the q events (x, 1) .. (x, q); beside it stand the exact word counts for the base score.
+Each segment becomes a Bloom filter of its own that holds n-gram x with quantised count q as the q events (x, 1) ..
+(x, q); it is sized by its events, so false counts do not grow with the corpus.  Beside it stand the exact word
+counts for the base score.
 
 Scoring: a worker loads the segments in shards of bounded size and asks (x, 1), (x, 2), .. until one is absent:
 the number of hits gives the count.  The filter grows with the corpus, so it goes to the workers through the shared
@@ -30,8 +31,8 @@ from kerbside.llm.simhash import SEED, words_of
 END = np.uint64(xxhash.xxh64_intdigest(b" end", SEED))
 START = np.uint64(xxhash.xxh64_intdigest(b" start", SEED))
 
-BITS_PER_NGRAM = 12
-PROBE_BITS = 4  # bits of one event, all within one 64-bit word of the filter
+BITS_PER_EVENT = 16
+PROBE_BITS = 4  # bits of one event, all within one 64-bit word of the filter; each event of an n-gram has its own word
 _CHUNK_TOKENS = 1 << 20
 _PROBED_AT_ONCE = 1 << 17
 _COUNTS = "segment int, key long, n long, is_word boolean"
@@ -56,16 +57,14 @@ def _segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
     return ((_mix(keys, 2) >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
 
-def _word_of(keys: np.ndarray, n_words: np.ndarray | int) -> np.ndarray:
-    return (_mix(keys, 3) >> np.uint64(32)) * np.asarray(n_words, np.uint64) >> np.uint64(32)
-
-
-def _event_mask(keys: np.ndarray, level: int) -> np.ndarray:
+def _event(keys: np.ndarray, level: int, n_words: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """The word of each event (key, level) in a filter of ``n_words``, and its bits there."""
     bits = _mix(keys, 3 + level)
+    word = (bits >> np.uint64(32)) * np.asarray(n_words, np.uint64) >> np.uint64(32)
     mask = np.zeros(len(keys), np.uint64)
     for i in range(PROBE_BITS):
         mask |= np.uint64(1) << ((bits >> np.uint64(6 * i)) & np.uint64(63))
-    return mask
+    return word.astype(np.int64), mask
 
 
 def token_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -136,12 +135,12 @@ def quantised(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1]
 
 
-def build_filter(keys: np.ndarray, counts: np.ndarray, bits_per_ngram: int = BITS_PER_NGRAM) -> np.ndarray:
-    words = np.zeros(max(1, -(-len(keys) * bits_per_ngram // 64)), np.uint64)
+def build_filter(keys: np.ndarray, counts: np.ndarray, bits_per_event: int = BITS_PER_EVENT) -> np.ndarray:
     levels = quantised(counts)
+    words = np.zeros(max(1, -(-int(levels.sum()) * bits_per_event // 64)), np.uint64)
     level = 1
     while len(keys):
-        np.bitwise_or.at(words, _word_of(keys, len(words)).astype(np.int64), _event_mask(keys, level))
+        np.bitwise_or.at(words, *_event(keys, level, len(words)))
         level += 1
         keys, levels = keys[levels >= level], levels[levels >= level]
     return words
@@ -247,14 +246,13 @@ class Shard:
     def quantised(self, keys: np.ndarray, segment: np.ndarray) -> np.ndarray:
         """How many events of each key the filter has, from the first on: probes go on until one misses."""
         local = segment - self.first
-        block = self.filter[self.starts[local] + _word_of(keys, self.sizes[local]).astype(np.int64)]
         levels = np.zeros(len(keys), np.int64)
         rows = np.arange(len(keys))
         level = 1
         while len(rows):
-            mask = _event_mask(keys, level)
-            hit = (block & mask) == mask
-            rows, keys, block = rows[hit], keys[hit], block[hit]
+            word, mask = _event(keys, level, self.sizes[local])
+            hit = (self.filter[self.starts[local] + word] & mask) == mask
+            rows, keys, local = rows[hit], keys[hit], local[hit]
             levels[rows] = level
             level += 1
             if level > 64:

@@ -58,6 +58,19 @@ def test_filter_never_counts_too_little_and_seldom_too_much():
     assert (light.quantised(rng.integers(0, 2**64, 40_000, dtype=np.uint64), np.zeros(40_000, np.int64)) > 0).mean() < 0.03
 
 
+@pytest.mark.parametrize("mean", [1, 2, 20, 400])
+def test_false_counts_do_not_grow_with_the_counts(mean):
+    rng = np.random.default_rng(2)
+    keys, fresh = (rng.integers(0, 2**64, 40_000, dtype=np.uint64) for _ in range(2))
+    counts = rng.geometric(1 / mean, len(keys))
+    shard = lm.Shard.__new__(lm.Shard)
+    shard.filter = lm.build_filter(keys, counts)
+    shard.first, shard.sizes, shard.starts = 0, np.array([len(shard.filter)]), np.array([0])
+    segment = np.zeros(len(keys), np.int64)
+    assert (shard.quantised(fresh, segment) > 0).mean() < 0.012
+    assert (shard.quantised(keys, segment) > lm.quantised(counts)).mean() < 0.025
+
+
 def test_bigrams_help(spark):
     """Text of fixed word pairs is likelier under the bigram model than under single words."""
     rng = random.Random(2)
