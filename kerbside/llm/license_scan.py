@@ -1,9 +1,11 @@
 """License scan: MinHash bands over overlapping text windows, exact shingle containment.
 
-Templates are put in size classes (powers of two words).  A text is cut into windows a quarter longer than the
-class, starting every quarter of it, so some window holds any passage of a template's length whole.  Such a window
-shares at least 0.29 of all shingles involved with a template contained to 0.8, and one of 32 bands of one row
-then collides with a probability above 0.99998.  Containment of the template's shingles in the window decides.
+Templates are put in size classes (powers of two words).  A text is cut into windows that start every quarter of the
+class.  Those a quarter longer than the class hold any passage of a template's length whole; those twice as long as
+the class hold a notice with words inserted, up to 1.75 classes, wherever it starts, and are asked where the shorter
+find nothing.  A short window shares at least 0.29 of all shingles involved with a template contained to 0.8, and one
+of 32 bands of one row then collides with a probability above 0.99998; a long one 0.19, and one of 64 bands collides
+with a probability above 0.99999.  Containment of the template's shingles in the window decides.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from kerbside.llm.scratch import stored
 from kerbside.llm.shingle_windows import TEXT, shingle_hits, shingles, text_id, window_hashes, with_word_hashes
 
-BANDS = 32
+WINDOWS = ((5, 32), (8, 64))  # quarters of the class, and bands
 SMALLEST_CLASS = 8
 
 # Notices and opening passages of public licenses.
@@ -59,15 +61,15 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TEMPLATES.items()), "license string, text string")
 
 
-def min_hashes(shingle_column: str) -> Column:
+def min_hashes(shingle_column: str, bands: int) -> Column:
     """One minimum per band; null for a window without shingles."""
-    return F.array(*[F.array_min(F.transform(shingle_column, lambda s: F.xxhash64(s, F.lit(band)))) for band in range(BANDS)])
+    return F.array(*[F.array_min(F.transform(shingle_column, lambda s: F.xxhash64(s, F.lit(band)))) for band in range(bands)])
 
 
 def license_matches(docs: DataFrame, licenses: DataFrame, text: str = "text", key: str = "doc_id", name: str = "license",
                     license_text: str = "text", size: int = 3, containment: float = 0.8) -> DataFrame:
     """doc_id, license, window_start (words) and containment: each template found in each document, at the window
-    that holds most of its shingles (the first of equals).
+    that holds most of its shingles (the first of equals), a long window only where no short one holds enough.
 
     Words are lower-cased runs of letters and digits.  Templates of fewer than ``size`` words are found nowhere,
     null texts hold nothing, and repeated rows each have their rows.
@@ -78,26 +80,33 @@ def license_matches(docs: DataFrame, licenses: DataFrame, text: str = "text", ke
         "license", F.greatest(F.lit(SMALLEST_CLASS), smallest_power).alias("class"),
         F.array_distinct(shingles("hashes", size)).alias("template")), "templates")
     reference = stored(named.select("class", F.explode("template").alias("h")).distinct(), "template-shingles")
-    bands = stored(named.select("*", min_hashes("template").alias("template_minima")), "template-bands")
+    hits = stored(shingle_hits(docs, reference, size, text).select(*TEXT, "class", "pos"), "template-hits")
+
+    shares = [_shares(docs, hits, named, quarters, bands, size, text).where(F.col("share") >= containment).select(
+        *TEXT, "license", F.lit(quarters).alias("quarters"), (-F.col("share")).alias("less"), "start") for quarters, bands in WINDOWS]
+    best = shares[0].unionByName(shares[1]).groupBy(*TEXT, "license").agg(F.min(F.struct("quarters", "less", "start")).alias("best"))
+    found = stored(best.select(*TEXT, "license", F.col("best.start").alias("window_start"), (-F.col("best.less")).alias("containment")), "licenses")
+    return docs.select(F.col(key).alias("doc_id"), *text_id(F.col(text))).join(found, TEXT).drop(*TEXT)
+
+
+def _shares(docs: DataFrame, hits: DataFrame, named: DataFrame, quarters: int, bands: int, size: int, text: str) -> DataFrame:
+    """t1, t2, license, start and share of the template's shingles, for windows of so many quarters of the class."""
+    offered_bands = stored(named.select("*", min_hashes("template", bands).alias("template_minima")), "template-bands")
 
     # Starts of the windows that hold the place, one each stride.
-    stride, length = F.col("class") / 4, F.col("class") + F.col("class") / 4
-    hits = shingle_hits(docs, reference, size, text).select(
-        *TEXT, "n_words", "class", "pos", stride.cast("int").alias("stride"), length.cast("int").alias("length"))
+    stride = (F.col("class") / 4).cast("int")
+    placed = hits.select(*TEXT, "class", "pos", stride.alias("stride"), (stride * quarters).alias("length"))
     first = F.greatest(F.lit(0), F.ceil((F.col("pos") + size - F.col("length")) / F.col("stride"))).cast("int")
-    near = hits.select(*TEXT, "class", "length", "stride", first.alias("first"), F.floor(F.col("pos") / F.col("stride")).cast("int").alias("last")).distinct()
+    near = placed.select(*TEXT, "class", "length", "stride", first.alias("first"), F.floor(F.col("pos") / F.col("stride")).cast("int").alias("last")).distinct()
     numbered = near.select(*TEXT, "class", "length", "stride", F.explode(F.sequence("first", "last")).alias("number"))
     windows = stored(numbered.select(*TEXT, "class", "length", (F.col("number") * F.col("stride")).alias("start")).distinct(), "windows")
     own = window_hashes(docs, windows, text)
     looked_at = own.select(*TEXT, "class", "start", F.array_distinct(shingles("hashes", size)).alias("window"))
-    signed = stored(looked_at.select("*", min_hashes("window").alias("minima")), "window-bands")
+    signed = stored(looked_at.select("*", min_hashes("window", bands).alias("minima")), "window-bands")
 
     asked = signed.select("*", F.posexplode("minima").alias("band", "value"))
-    offered = bands.select("*", F.posexplode("template_minima").alias("band", "value"))
+    offered = offered_bands.select("*", F.posexplode("template_minima").alias("band", "value"))
     first_band = F.array_position(F.zip_with("minima", "template_minima", lambda x, y: x == y), True) - 1
     met = asked.join(offered, ["class", "band", "value"]).where(F.col("band") == first_band)
     share = F.size(F.array_intersect("window", "template")) / F.size("template")
-    best = met.select(*TEXT, "license", "start", share.alias("share")).where(F.col("share") >= containment).groupBy(*TEXT, "license").agg(
-        F.min(F.struct((-F.col("share")).alias("less"), "start")).alias("best"))
-    found = stored(best.select(*TEXT, "license", F.col("best.start").alias("window_start"), (-F.col("best.less")).alias("containment")), "licenses")
-    return docs.select(F.col(key).alias("doc_id"), *text_id(F.col(text))).join(found, TEXT).drop(*TEXT)
+    return met.select(*TEXT, "license", "start", share.alias("share"))

@@ -122,6 +122,28 @@ def test_licenses_against_all_windows(spark):
     assert license_scan.license_matches(df, license_scan.templates(spark).where(F.lit(False))).count() == 0
 
 
+def test_notices_with_inserted_words_at_every_start(spark):
+    """Wherever words are inserted and wherever the notice starts: what any window of two classes holds is found."""
+    texts, after = [], prose(2, 40)
+    for name, inserted in (("CC-BY-SA-4.0", 4), ("CC-BY-SA-4.0", 8), ("CC-BY-4.0", 5), ("CC-BY-4.0", 8), ("GPL-3.0", 6), ("GPL-3.0", 8)):
+        notice = words(license_scan.TEMPLATES[name])
+        for cut in range(1, len(notice)):
+            for offset in range(4):
+                between = prose(cut, inserted)
+                texts.append(" ".join([*words(prose(3, 20 + offset)), *notice[:cut], between, *notice[cut:], after]))
+    want = set()
+    for i, t in enumerate(texts):
+        w = words(t)
+        for name, text in license_scan.TEMPLATES.items():
+            target = set(runs(words(text), 3))
+            length = 2 * max(8, 1 << (len(words(text)) - 1).bit_length())
+            if any(len(target & set(runs(w[start:start + length], 3))) >= 0.8 * len(target) for start in range(len(w))):
+                want.add((i, name))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = license_scan.license_matches(df, license_scan.templates(spark)).collect()
+    assert {(r.doc_id, r.license) for r in got} == want and len({i for i, _ in want}) > 200
+
+
 @pytest.mark.parametrize("build", ["items", "licenses"])
 def test_no_python_in_the_plans(spark, build):
     df = odd_docs(spark)
