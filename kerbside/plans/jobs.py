@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable, Sequence
 from datetime import UTC, date, datetime
 from functools import partial
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from kerbside.functions.calendar import in_month, month_key
 from kerbside.operators.settle import settled
 from kerbside.plans import gold, silver
 from kerbside.plans.bronze import EXTRACTS, extract
-from kerbside.sources.files import matches
+from kerbside.sources.files import child_names, delete_tree, matches
 from kerbside.sources.ride_csv import DATE_TEXT, read_raw, rejected_dates, stamp, tidy
 from kerbside.sources.warehouse import StagedMonths, Warehouse, audit, together
 
@@ -125,7 +126,8 @@ def load_tidied(warehouse: Warehouse, tidied: DataFrame, extraction_date: date |
     The staged copy is columnar and holds the run's rows only, so nine extracts
     do not parse the file nine times.  With ``on_bad_date="fail"`` a bad date
     stops the run before anything is written.  Rejects are stored by source file
-    below ``label``: loading a file again replaces that file's rejects only.
+    below ``label``: loading a file again replaces that file's rejects only, with
+    none if it has none now.
     """
     rows = tidied
     if extraction_date is not None and not no_date_filter:
@@ -138,8 +140,15 @@ def load_tidied(warehouse: Warehouse, tidied: DataFrame, extraction_date: date |
         prepared = stamp(staged, extraction_date, no_date_filter=no_date_filter)
         month = None if extraction_date is None else month_key(extraction_date)
         counts = bronze_load(warehouse, prepared, month=month, mode=mode)
-        rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(
-            f"{warehouse.root}/rejects/{label}")
+        stored = f"{warehouse.root}/rejects/{label}"
+        rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(stored)
+        # Files without a reject wrote no partition; those without a row of the run are known by the scan alone.
+        scanned = {unquote(path.rsplit("/", 1)[-1]) for path in tidied.inputFiles()}
+        loaded = scanned | {r[0] for r in staged.select("source_file").distinct().collect()}
+        clean = loaded - {r[0] for r in rejects.select("source_file").distinct().collect()}
+        for name in child_names(warehouse.spark, stored):
+            if name.startswith("source_file=") and unquote(name.split("=", 1)[1]) in clean:
+                delete_tree(warehouse.spark, f"{stored}/{name}")
         return counts
 
 

@@ -351,6 +351,19 @@ def test_rejects_of_every_file_are_kept(spark, folder):
     assert rows_of(rejects, "booking_id", "source_file") == [("CNR8", "one.csv"), ("CNR88", "two.csv")]
 
 
+def test_rejects_of_a_corrected_file_go(spark, folder):
+    """Also if no row of the month is left in it; those of other files stay."""
+    warehouse = Warehouse(spark, f"{folder}/w")
+    bad = ride_file.CASES[-1]
+    names = ["one 1.csv", "two.csv", "three.csv"]
+    for name in names:
+        jobs.load_file(warehouse, ride_file.write(folder, [ride_file.CASES[0], bad], name), MARCH)
+    for name, cases in (("one 1.csv", ride_file.CASES[:1]), ("two.csv", [("2024-07-02", *ride_file.CASES[0][1:])])):
+        jobs.load_file(warehouse, ride_file.write(folder, cases, name), MARCH)
+    rejects = spark.read.parquet(f"{warehouse.root}/rejects/2024-03")
+    assert rows_of(rejects, "booking_id", "source_file") == [("CNR8", "three.csv")]
+
+
 def test_several_files_folders_and_patterns(spark, folder, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
