@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import (
-    decontamination, language_model, lattice_sampling, learned_partitions, license_scan, line_dedup, quality, simhash,
+    decontamination, language_model, lattice_sampling, learned_partitions, license_scan, line_dedup, quality, simhash, syncmers,
     token_counts, token_shards)
 from kerbside.llm.expected_sql import EXPECTED_SQL
 from kerbside.llm.scratch import scratch_path
@@ -77,6 +77,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(docs, language_model.train(docs.where(~held_out)), held_out=held_out)
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -88,4 +92,5 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_nearest": op9_nearest,
     "op10_lm_score": op10_lm_score,
+    "op11_fingerprints": op11_fingerprints,
 }
