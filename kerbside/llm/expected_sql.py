@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from kerbside.llm.license_scan import TEMPLATES
+from kerbside.llm.spelling_variants import CAPITALS
 
 # Fixed value: ASCII white space.
 _BLANK = r"[\x20\x09-\x0D]"
@@ -16,6 +17,21 @@ def _shingles(size: int) -> str:
     return f"list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))"
 
 
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8, byte by byte from its hexadecimal digits."""
+    def entry(byte: int) -> int:
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        return byte
+
+    table = "[" + ", ".join(str(entry(b)) for b in range(256)) + "]"
+    digits = f"hex(encode({text}))"
+    byte = f"cast('0x' || substr({digits}, 2 * i + 1, 2) as bigint)"
+    values = f"list_transform(range(length({digits}) // 2), lambda i: {byte})"
+    step = f"xor({table}[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {values}), lambda c, b: {step}), 4294967295::bigint)"
+
+
 _LICENSES = "(values " + ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in TEMPLATES.items()) + ") l(license, text)"
 
 EXPECTED_SQL: dict[str, str] = {
@@ -89,4 +105,64 @@ EXPECTED_SQL: dict[str, str] = {
         select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
             sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
         from marked group by doc_id""",
+    "op12_conversation_trie": f"""
+        with turn as (
+            select conv_id, row_number() over (partition by conv_id order by turn nulls first) as n,
+                   {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} as t
+            from conversations where conv_id is not null
+        ), own as (
+            select conv_id, list(t order by n) as ts from turn group by conv_id
+        ), plan as (
+            select conv_id, ts, conv_id - conv_id % 5 as host, {_crc32("cast(conv_id as varchar)")} % 9 as h from own
+        ), rebuilt as (
+            select plan.conv_id, list_concat(coalesce(own.ts, [])[1:h], plan.ts[h + 1:]) as ts
+            from plan left join own on own.conv_id = plan.host
+        ), prefix as (
+            select conv_id, len(ts) as size, d, ts[1:d] as ts from (select *, unnest(range(0, len(ts) + 1)) as d from rebuilt)
+        ), node as (
+            select d, ts, min(conv_id) as conv_id, count(*) as n_convs,
+                   if(d = 0, 0, (count(*) - 1) * octet_length(encode(ts[d].text))) as saved,
+                   sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (size = d), '')) as ends_sha256
+            from prefix group by d, ts
+        ), child as (
+            select ts[1:d - 1] as ts, count(*) as n_children from node where d > 0 group by all
+        ), above as (
+            select unnest(range(0, d + 1)) as top, d, ts, saved, n_children is null as leaf from node left join child using (ts)
+        ), subtree as (
+            select ts[1:top] as ts, sum(cast(leaf as bigint)) as n_leaves, sum(saved) as saved_tokens from above group by all
+        )
+        select node.conv_id, node.d as depth, parent.conv_id as parent_conv_id, node.n_convs, coalesce(n_children, 0) as n_children,
+               cast(n_leaves as bigint) as n_leaves, cast(saved_tokens as bigint) as saved_tokens, node.ends_sha256
+        from node join subtree using (ts) left join child using (ts) left join node parent on parent.ts = node.ts[1:node.d - 1] and node.d > 0""",
+    "op13_spelling_variants": rf"""
+        with run as (
+            select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as run from documents
+        ), lowered as (
+            select doc_id, translate(run, '{CAPITALS}', '{CAPITALS.lower()}') as run, count(*) as times from run group by all
+        ), hashed as (
+            select run, times, {_crc32("coalesce(cast(doc_id as varchar), '') || ':' || run")} as h from lowered
+        ), damaged as (
+            select if(h % 31 = 0, substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2), run) as word, times from hashed
+        ), word as (
+            select word, cast(sum(times) as bigint) as n from damaged where length(word) >= 7 group by word having sum(times) >= 2
+        ), hole as (
+            select word, n, i, substr(word, 1, i - 1) as head, substr(word, i + 1) as tail
+            from (select *, unnest(range(1, length(word) + 1)) as i from word)
+        ), near as (
+            select a.word, a.n, b.word as near, b.n as near_n from hole a join hole b using (i, head, tail) where a.word <> b.word
+            union select a.word, a.n, b.word, b.n from hole a join word b on b.word = a.head || a.tail
+            union select b.word, b.n, a.word, a.n from hole a join word b on b.word = a.head || a.tail
+        ), judged as (
+            select word, n, count(near) as n_near, max(near_n) as top, arg_min(near, (-near_n, encode(near))) as best
+            from word left join near using (word, n) group by word, n
+        ), form as (
+            select word, n, n_near, if(top >= 10 * n, best, null) as form, if(top >= 10 * n, top, null) as form_n from judged
+        ), way as (
+            with recursive step as (
+                select word, coalesce(form, word) as root, form is null as done from form
+                union all select step.word, coalesce(f.form, f.word), f.form is null
+                from step join form f on f.word = step.root where not step.done
+            ) select word, root from step where done
+        )
+        select word, form, root, n, n_near, form_n from form join way using (word)""",
 }

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import (
-    decontamination, language_model, lattice_sampling, learned_partitions, license_scan, line_dedup, quality, simhash, syncmers,
-    token_counts, token_shards)
+    conversation_trie, decontamination, language_model, lattice_sampling, learned_partitions, license_scan, line_dedup, quality,
+    simhash, spelling_variants, syncmers, token_counts, token_shards)
 from kerbside.llm.expected_sql import EXPECTED_SQL
 from kerbside.llm.scratch import scratch_path
 from kerbside.sources.ride_star import read_table
@@ -81,6 +81,14 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(read_table(spark, sf_dir, "conversations"), every=5, head=9)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -93,4 +101,6 @@ QUERIES: dict[str, Query] = {
     "op9_nearest": op9_nearest,
     "op10_lm_score": op10_lm_score,
     "op11_fingerprints": op11_fingerprints,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }

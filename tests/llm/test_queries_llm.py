@@ -17,14 +17,14 @@ from kerbside.llm.queries import EXPECTED_SQL, QUERIES
 @pytest.fixture(scope="module")
 def engine():
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "embeddings"):
+    for table in ("documents", "benchmark", "labels", "embeddings", "conversations"):
         con.execute(f"create view {table} as select * from read_parquet('{SF_DIR}/{table}.parquet')")
     return con
 
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(EXPECTED_SQL) <= set(QUERIES)
 
 
