@@ -1,4 +1,4 @@
-"""The row after each row of a table, without a window over the whole table."""
+"""Numbering rows in order, without a window over the whole table."""
 
 from __future__ import annotations
 
@@ -8,24 +8,6 @@ from pyspark.sql import functions as F
 from kerbside.llm.scratch import stored
 
 
-def with_next(rows: DataFrame, order: list[str], payload: list[str]) -> DataFrame:
-    """``rows`` with a struct ``next`` of the ``order`` and ``payload`` columns of the row after it.
-
-    Nulls come first, and the first row follows the last.  ``order`` has to tell all rows apart.  Rows are
-    range-partitioned; within a range a window looks one row ahead, and a range's last row meets the first of the
-    next range that is not empty (a table of one row per range).
-    """
-    ranged = stored(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
-    whole = F.struct(*order, *payload)
-    inside = ranged.withColumn("next", F.lead(whole).over(Window.partitionBy("_range").orderBy(*order)))
-    firsts = ranged.groupBy("_range").agg(F.min(whole).alias("_first"))
-    every = Window.orderBy("_range")  # as many rows as ranges
-    heads = firsts.select("_range", F.lead("_first").over(every).alias("_after"), F.first("_first").over(
-        every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_start"))
-    ends = F.broadcast(heads.select("_range", F.coalesce("_after", "_start").alias("_head")))
-    return inside.join(ends, "_range").withColumn("next", F.coalesce("next", "_head")).drop("_range", "_head")
-
-
 def numbered(rows: DataFrame, name: str, order: list[str], group: str | None = None) -> DataFrame:
     """``rows`` with a column ``name``: the place, from 1, in ``order`` (nulls first) among all or among those of a group.
 

@@ -18,13 +18,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.reading_order import with_next
+from kerbside.llm.reading_order import numbered
 from kerbside.llm.scratch import stored
 
 INNER = 8  # code points of an inner run, and inner runs of a run: three doublings
 SPAN = 2 * INNER - 1
 SKETCH = 128
 PIECE = 1 << 10
+BLOCK = 1 << 10  # places of the reading order whose fingerprints meet in one window
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -140,37 +141,46 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     a hash of id and text, and repeated rows of one id and text hold one place in that order but have a row each.  Null
     texts are empty; an empty text's fingerprint is like an empty one's only.
     """
-    place = [F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col("text")]
+    row = [F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col("text")]
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
-        "doc_id", F.xxhash64(*place).alias("k1"), F.xxhash64(F.lit(1), *place).alias("k2"), "text")
-    keys = own.select("doc_id", "k1", "k2", F.char_length("text").alias("n_chars")).dropDuplicates(["k1", "k2"])
-    ordered = stored(with_next(keys, ["doc_id", "k1", "k2"], []).select(
-        "k1", "k2", "n_chars", F.col("next.k1").alias("n1"), F.col("next.k2").alias("n2")), "reading-order")
-
-    # What the document before it takes of each text goes there; whole texts are dealt once, by their keys.
-    takers = ordered.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.floor(F.col("n_chars") / 4).cast("int").alias("taken"),
-                            F.col("n1").alias("k1"), F.col("n2").alias("k2"))
-    taken = own.join(takers, ["k1", "k2"]).select(F.col("b1").alias("k1"), F.col("b2").alias("k2"),
-                                                  F.substring(F.col("text"), F.lit(1), F.col("taken")).alias("new_tail"))
-    met = own.join(taken.groupBy("k1", "k2").agg(F.first("new_tail").alias("new_tail")), ["k1", "k2"])
-
-    n_chars = F.char_length("text")
-    cut = met.select("doc_id", "k1", "k2", n_chars.alias("n_chars"), (n_chars - F.floor(n_chars / 4).cast("int")).alias("n_kept"),
-                     "text", "new_tail")
+        "doc_id", F.xxhash64(*row).alias("k1"), F.xxhash64(F.lit(1), *row).alias("k2"), "text")
+    keys = own.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("copies"), F.first(F.char_length("text")).alias("n_chars"))
+    order = stored(numbered(keys, "place", ["doc_id", "k1", "k2"]).withColumn("place", F.col("place") - 1), "reading-order")
+    n_places = order.count()
+
+    # The front that a document takes of the next one goes there with all that is known of the taker; whole texts are
+    # dealt once, by their keys.
+    texts = own.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    takers = order.withColumnsRenamed({"k1": "b1", "k2": "b2"}).withColumn("next", (F.col("place") + 1) % F.lit(max(n_places, 1)))
+    asked = takers.join(order.select(F.col("place").alias("next"), "k1", "k2"), "next").drop("next")
+    lent = texts.join(asked, ["k1", "k2"]).select(
+        F.col("b1").alias("k1"), F.col("b2").alias("k2"), "doc_id", "place", "copies", "n_chars",
+        F.substring(F.col("text"), F.lit(1), F.floor(F.col("n_chars") / 4).cast("int")).alias("new_tail"))
+    cut = texts.join(lent, ["k1", "k2"]).withColumn("n_kept", F.col("n_chars") - F.floor(F.col("n_chars") / 4).cast("int"))
     head = F.substring(F.col("text"), F.lit(1), F.col("n_kept"))
     edge = F.substring(head, F.greatest(F.col("n_kept") - (SPAN - 2), F.lit(1)), F.lit(SPAN))  # where a run may reach the tail
     parts = cut.select(
-        "doc_id", "k1", "k2", "n_chars", "text", F.concat(head, "new_tail").alias("edited"), sketch(head).alias("kept"),
+        "doc_id", "place", "copies", "n_chars", "text", F.concat(head, "new_tail").alias("edited"), sketch(head).alias("kept"),
         sketch(F.concat(edge, F.substring(F.col("text"), F.col("n_kept") + 1, F.col("n_chars")))).alias("old"),
         sketch(F.concat(edge, "new_tail")).alias("new"))
-    prints = stored(parts.select(
-        "doc_id", "k1", "k2", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+    prints = parts.select(
+        "doc_id", "place", "copies", "n_chars", F.unhex(F.sha2("edited", 256)).alias("digest"),
         fingerprint(F.col("text"), smallest(F.concat("kept", "old"))).alias("sketch"),
-        fingerprint(F.col("edited"), smallest(F.concat("kept", "new"))).alias("edited_sketch")), "fingerprints")
-    sketches = prints.select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("sketch").alias("next_sketch")).dropDuplicates(["n1", "n2"])
-    following = ordered.select("k1", "k2", "n1", "n2").join(sketches, ["n1", "n2"]).select("k1", "k2", "next_sketch")
-    return prints.join(following, ["k1", "k2"]).select(
-        "doc_id", "n_chars", "edited_sha256", printed(F.col("sketch")).alias("fingerprint"),
-        printed(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint(F.col("edited"), smallest(F.concat("kept", "new"))).alias("edited_sketch"))
+
+    # Neighbours meet in blocks of places; the first of a block is also shown to the block before it.
+    def seen(place: Column, block: Column, shown: bool) -> Column:
+        return F.struct(place.alias("at"), block.cast("long").alias("block"), F.lit(shown).alias("shown"))
+
+    place = F.col("place")
+    after = F.when(place == 0, seen(F.lit(n_places).cast("long"), F.floor(F.lit(n_places - 1) / BLOCK), True)).when(
+        place % BLOCK == 0, seen(place, F.floor(place / BLOCK) - 1, True))
+    twice = prints.select("*", F.inline(F.array_compact(F.array(seen(place, F.floor(place / BLOCK), False), after))))
+    following = Window.partitionBy("block").orderBy("at").rangeBetween(1, 1)
+    met = twice.withColumn("next_sketch", F.first("sketch").over(following)).where(~F.col("shown"))
+    judged = met.select(
+        "doc_id", "copies", F.col("n_chars").cast("long").alias("n_chars"), F.lower(F.hex("digest")).alias("edited_sha256"),
+        printed(F.col("sketch")).alias("fingerprint"), printed(F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+    return judged.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copy", "copies")
