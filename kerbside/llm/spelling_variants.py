@@ -2,7 +2,8 @@
 
 Letters are folded onto ``SYMBOLS`` symbols.  An edit of one letter changes the folded word by one edit or not at all,
 so the full one-edit neighbourhood of every folded word, joined with the folded vocabulary, brings all near words
-together; the words themselves decide.  Neighbours are generated as 64-bit codes of the folded words (sums of a number
+together; the words themselves decide.  A bitmap of fixed size with the codes of the vocabulary keeps most neighbours that
+are no word's code from travelling; as the vocabulary grows it lets more through and loses nothing.  Neighbours are generated as 64-bit codes of the folded words (sums of a number
 per symbol and place from either end), so each costs the same however long the word is, and no string is built.
 """
 
@@ -21,6 +22,7 @@ from kerbside.llm.scratch import stored
 RUN = r"[A-Za-zÀ-ÿ]+"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SYMBOLS = 8
+BITS = 26
 _STEP = 1 << 13  # letters of a word whose neighbours are made at once
 _CELLS = 1 << 21  # codes made at once
 _BASE = 0x9E3779B97F4A7C15
@@ -110,12 +112,42 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield part, np.stack([_symbols(words[i]) for i in part])
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slot(codes: np.ndarray) -> np.ndarray:
+    mixed = (codes ^ (codes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed >> np.uint64(64 - BITS)
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word of the bitmap, bits set in it) of the codes of each batch."""
     for batch in batches:
-        words, ids = batch.column("word").to_pylist(), batch.column("id").to_numpy()
-        for part, symbols in _by_length(words):
-            for row, codes in neighbour_codes(symbols):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[part[row]]), pa.array(codes.view(np.int64))], names=["id", "code"])
+        slots = np.unique(_slot(batch.column("code").to_numpy().view(np.uint64)))
+        if len(slots):
+            at, starts = np.unique(slots >> np.uint64(6), return_index=True)
+            bits = np.bitwise_or.reduceat(np.uint64(1) << (slots & np.uint64(63)), starts)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(bits.view(np.int64))], names=["at", "bits"])
+
+
+def code_bitmap(named: DataFrame) -> np.ndarray:
+    """2**BITS bits (8 MB, whatever the vocabulary), set where a code of ``named`` falls."""
+    bitmap = np.zeros(1 << (BITS - 6), np.uint64)
+    parts = named.select("code").mapInArrow(_bits, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    rows = parts.toArrow()
+    bitmap[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return bitmap
+
+
+def _neighbours(bitmap):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = bitmap.value
+        for batch in batches:
+            words, ids = batch.column("word").to_pylist(), batch.column("id").to_numpy()
+            for part, symbols in _by_length(words):
+                for row, codes in neighbour_codes(symbols):
+                    slot = _slot(codes)
+                    met = np.flatnonzero(known[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1))
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[part[row[met]]]), pa.array(codes[met].view(np.int64))], names=["id", "code"])
+
+    return run
 
 
 def folded_codes(words: list[str]) -> np.ndarray:
@@ -138,7 +170,8 @@ def near_words(words: DataFrame) -> DataFrame:
     code point, in both directions.  ``words`` holds each word once."""
     named = stored(words.select(F.xxhash64("word").alias("id"), "word", "n").mapInArrow(
         _codes, "id long, word string, n long, code long"), "folded-words")
-    around = named.select("id", "word").mapInArrow(_neighbours, "id long, code long")
+    bitmap = words.sparkSession.sparkContext.broadcast(code_bitmap(named))
+    around = named.select("id", "word").mapInArrow(_neighbours(bitmap), "id long, code long")
     met = around.join(named.select(F.col("id").alias("other"), "code"), "code").where("id <> other").select("id", "other").distinct()
     one, two = (named.select(F.col("id").alias(i), F.col("word").alias(w), F.col("n").alias(n))
                 for i, w, n in (("id", "word", "n"), ("other", "near", "near_n")))
