@@ -246,6 +246,8 @@ def _bodies() -> dict[str, str]:
     bodies = {
         "src_prepare": f"select {RIDE_COLUMNS}, {LINEAGE} from ride",
         "src_clean_text": "select doc_id, " + ", ".join(map(_clean, ("text", "lang", "source"))) + " from documents",
+        "src_csv_records": """select doc_id, md5(coalesce(text, '')) as text_md5, if(doc_id % 7 = 3, null, lang) as lang,
+            if(doc_id % 7 = 3, null, source) as source, doc_id % 7 = 5 as too_long from documents""",
         "src_na_normalise": "select " + ", ".join(
             _spelled(name, kind) for _, name, kind in SOURCE_COLUMNS) + " from ride",
         "src_month_slice": f"select booking_id, date, time, booking_status, booking_value, {LINEAGE} from ride "

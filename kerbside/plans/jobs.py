@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Sequence
 from datetime import UTC, date, datetime
 from functools import partial
@@ -16,7 +17,7 @@ from kerbside.operators.settle import settled
 from kerbside.plans import gold, silver
 from kerbside.plans.bronze import EXTRACTS, extract
 from kerbside.sources.files import child_names, delete_tree, matches
-from kerbside.sources.ride_csv import DATE_TEXT, read_raw, rejected_dates, stamp, tidy
+from kerbside.sources.ride_csv import BAD_RECORD, DATE_TEXT, SOURCE_PATH, read_raw, rejected, stamp, tidy
 from kerbside.sources.warehouse import StagedMonths, Warehouse, audit, together
 
 Counts = dict[str, int]
@@ -119,35 +120,45 @@ def gold_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None, target
     return together(warehouse.spark, {f"gold.{table}": partial(write, table) for table in builds})
 
 
+def _plain(path: str) -> str:
+    """A path as one text, however its characters and its scheme are written."""
+    return re.sub(r"^(\w+:)/+", r"\1/", unquote(path))
+
+
+def _paths(rows: DataFrame) -> set[str]:
+    """The files that rows come from."""
+    return {_plain(r[0]) for r in rows.select(SOURCE_PATH).distinct().collect()}
+
+
 def load_tidied(warehouse: Warehouse, tidied: DataFrame, extraction_date: date | None, *, label: str,
                 no_date_filter: bool = False, mode: str = "replace", on_bad_date: str = "reject") -> Counts:
     """Stage the rows of a run once, load Bronze from the stage, store the run's rejects.
 
     The staged copy is columnar and holds the run's rows only, so nine extracts
-    do not parse the file nine times.  With ``on_bad_date="fail"`` a bad date
-    stops the run before anything is written.  Rejects are stored by source file
-    below ``label``: loading a file again replaces that file's rejects only, with
-    none if it has none now.
+    do not parse the file nine times.  With ``on_bad_date="fail"`` a bad date or
+    record stops the run before anything is written.  Rejects are stored by the
+    full path of their file below ``label``: loading a file again replaces that
+    file's rejects only, with none if it has none now.
     """
     rows = tidied
     if extraction_date is not None and not no_date_filter:
         undated = F.col("date").isNull() & F.col(DATE_TEXT).isNotNull()
-        rows = rows.where(in_month(F.col("date"), month_key(extraction_date)) | undated)
+        rows = rows.where(in_month(F.col("date"), month_key(extraction_date)) | undated | F.col(BAD_RECORD).isNotNull())
     with settled(rows, "prepared") as staged:
-        rejects = rejected_dates(staged)
-        if on_bad_date == "fail" and (bad := rejects.select(DATE_TEXT).first()) is not None:
-            raise ValueError(f"not a date: {bad[0]}")
+        rejects = rejected(staged)
+        if on_bad_date == "fail" and (bad := rejects.select("reason", DATE_TEXT, BAD_RECORD).first()) is not None:
+            raise ValueError(f"too many fields: {bad[2]}" if bad[0] == "fields" else f"not a date: {bad[1]}")
         prepared = stamp(staged, extraction_date, no_date_filter=no_date_filter)
         month = None if extraction_date is None else month_key(extraction_date)
         counts = bronze_load(warehouse, prepared, month=month, mode=mode)
         stored = f"{warehouse.root}/rejects/{label}"
-        rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(stored)
+        rejects.withColumn("source_path", F.col(SOURCE_PATH)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("source_path").parquet(stored)
         # Files without a reject wrote no partition; those without a row of the run are known by the scan alone.
-        scanned = {unquote(path.rsplit("/", 1)[-1]) for path in tidied.inputFiles()}
-        loaded = scanned | {r[0] for r in staged.select("source_file").distinct().collect()}
-        clean = loaded - {r[0] for r in rejects.select("source_file").distinct().collect()}
+        loaded = {_plain(path) for path in tidied.inputFiles()} | _paths(staged)
+        clean = loaded - _paths(rejects)
         for name in child_names(warehouse.spark, stored):
-            if name.startswith("source_file=") and unquote(name.split("=", 1)[1]) in clean:
+            if name.startswith("source_path=") and _plain(unquote(name.split("=", 1)[1])) in clean:
                 delete_tree(warehouse.spark, f"{stored}/{name}")
         return counts
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +13,14 @@ from kerbside.functions.calendar import month_start
 from kerbside.functions.text import clean_text, na_to_null, to_date, to_number
 from kerbside.operators.keep_first import keep_first
 from kerbside.operators.profile import QUARTILES, column_profile, describe, table_size
+from kerbside.operators.settle import settle
 from kerbside.operators.upsert import upsert
 from kerbside.plans import bronze, dashboard, gold, marts, reports, silver, sql_views, verification
 from kerbside.plans.star_warehouse import StarWarehouse, star_warehouse
 from kerbside.schemas import AUDIT_COLUMNS, SOURCE_COLUMNS, TABLES
-from kerbside.sources.ride_csv import order_columns, stamp, tidy
+from kerbside.session import shared_folder
+from kerbside.sources.files import delete_tree
+from kerbside.sources.ride_csv import BAD_RECORD, order_columns, read_raw, stamp, tidy
 from kerbside.sources.ride_star import raw_rides, read_table, ride_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +48,26 @@ def src_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped.drop(*order_columns(stamped))
 
 
+def src_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as a CSV whose texts go over lines, some records too short or too long, and read again."""
+    path = f"{shared_folder(spark)}/kerbside/records-{uuid4().hex}"
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+              for c in (F.col("text"), F.col("lang"), F.col("source"))]
+    fields = [F.col("doc_id").cast("string"), *quoted]
+    kind = F.col("doc_id") % 7
+    record = F.when(kind == 3, F.concat_ws(",", *fields[:2])).when(kind == 5, F.concat_ws(",", *fields, F.lit("one"), F.lit("too, many")))
+    lines = read_table(spark, sf_dir, "documents").select(
+        F.coalesce(record, F.concat_ws(",", *fields)).alias("record"), F.monotonically_increasing_id().alias("row"))
+    is_first = F.col("row").bitwiseAND((1 << 33) - 1) == 0  # of its file
+    lines.select(F.when(is_first, F.concat(F.lit(" doc_id,text ,lang,source\n"), "record")).otherwise(F.col("record"))).write.text(path)
+    try:
+        return settle(read_raw(spark, path).select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), "lang", "source",
+            F.col(BAD_RECORD).isNotNull().alias("too_long")), "records")
+    finally:
+        delete_tree(spark, path)
+
+
 def src_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select(
         "doc_id", *[clean_text(F.col(c)).alias(c) for c in ("text", "lang", "source")])
@@ -185,6 +209,8 @@ def all_queries() -> dict[str, Query]:
     queries: dict[str, Query] = {
         "src_prepare": src_prepare,
         "src_clean_text": src_clean_text,
+        "src_csv_records": src_csv_records,
+        "src_csv_records": src_csv_records,
         "src_na_normalise": src_na_normalise,
         "src_month_slice": src_month_slice,
         "store_read_projected": on_layers(store_read_projected),

@@ -9,22 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.plans.jobs import Counts, backfill, load_tidied
-from kerbside.sources.ride_csv import CSV_OPTIONS, ORDER_PREFIX, text_schema, tidy
+from kerbside.sources.ride_csv import CSV_OPTIONS, ORDER_PREFIX, record_schema, text_schema, tidy, with_file_order
 from kerbside.sources.warehouse import Warehouse
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
     """New CSV files of a folder as a text stream with file name and position.
 
-    Without a schema the header of a file already there gives the names.
+    Without a schema the header of a file already there gives the names.  Each
+    file is parsed as a whole, so that quoted line ends are kept.
     """
     header = schema or text_schema(spark, folder)
-    files = spark.readStream.schema(header).options(**CSV_OPTIONS).csv(folder)
-    return files.select(
-        *[F.col(f"`{c}`").alias(c.strip()) for c in header.fieldNames()],
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_path").alias(f"{ORDER_PREFIX}0"),
-        F.col("_metadata.file_block_start").alias(f"{ORDER_PREFIX}1"))
+    files = spark.readStream.schema(record_schema(header)).options(**CSV_OPTIONS, multiLine="true").csv(folder)
+    return with_file_order(files, count_rows=False)
 
 
 def ingest(spark: SparkSession, folder: str, warehouse_root: str, progress_folder: str, *,
