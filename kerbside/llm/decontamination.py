@@ -46,7 +46,7 @@ def weighted_similarity(a: str, b: str) -> Column:
 
 
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text",
-                 item_key: str = "item_id", size: int = 5, similarity: float = 0.8, radius: int = 18) -> DataFrame:
+                 item_key: str = "item_id", size: int = 5, similarity: float = 0.8, radius: int = 24) -> DataFrame:
     """doc_id, item_id, window_start (words), hamming and similarity: each item found in each document, at its most
     similar window (the first of equals).
 

@@ -22,7 +22,7 @@ from kerbside.llm.scratch import stored
 from kerbside.llm.simhash import shingle_hashes, simhash, words_of
 
 BANDS, ROWS = 16, 4  # at 0.8: a pair misses all bands with probability 0.0002
-RADIUS = 20  # at 0.8: about 10 bits differ, with a deviation of 3
+RADIUS = 24  # at 0.8: about 10 bits differ with a deviation of 3, 12 for sets of four and five shingles
 _PIECE = 1 << 14
 
 

@@ -67,6 +67,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, text: str = "
     counted = texts.select("digest", "text").mapInArrow(_encode(session.sparkContext.broadcast(model)), _CACHE)
     counted.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")).write.mode("append").parquet(folder)
 
-    known = session.read.schema(_CACHE).parquet(folder).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # Stored, so that the last join's shuffle of the rows can be split at a frequent digest.
+    known = stored(session.read.schema(_CACHE).parquet(folder).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "known")
     return keyed.join(known, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
