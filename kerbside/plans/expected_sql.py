@@ -262,6 +262,8 @@ def _bodies() -> dict[str, str]:
             "(" + SEEN.format(f"(select * from bronze_booking where extraction_month <= '{AS_OF}')") + ")"),
         "cat_table_listing": _listing(list(TABLES)),
     }
+    bodies |= {"inc_customer": "select * from silver_customer"}
+    bodies |= {f"inc_{t}": f"select * from gold_{t}" for t in TABLES["gold"]}
     bodies |= {f"bronze_{t}": f"select * from bronze_{t}" for t in TABLES["bronze"]}
     bodies |= {f"silver_{t}": f"select * from silver_{t}" for t in TABLES["silver"]}
     bodies |= {f"gold_{t}": f"select * from gold_{t}" for t in TABLES["gold"]}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.calendar import in_month, month_key
 from kerbside.operators.settle import settled
-from kerbside.plans import gold, silver
+from kerbside.plans import gold, partials, silver
 from kerbside.plans.bronze import EXTRACTS, extract
 from kerbside.sources.files import child_names, delete_tree, matches
 from kerbside.sources.ride_csv import BAD_RECORD, DATE_TEXT, SOURCE_PATH, read_raw, rejected, stamp, tidy
@@ -71,8 +71,8 @@ def bronze_load(warehouse: Warehouse, prepared: DataFrame, *, month: str | None
 
 
 def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
-                   extraction_month: str | None = None) -> Counts:
-    """Rebuild the dimensions, then the facts that look them up."""
+                   extraction_month: str | None = None, from_partials: bool = False) -> Counts:
+    """Rebuild the dimensions, then the facts that look them up; ``from_partials`` adds customers up by month."""
     run_ts = run_ts or utc_now()
 
     def bronze(table: str) -> DataFrame:
@@ -82,6 +82,8 @@ def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
         return warehouse.overwrite(audit(build(), run_ts), "silver", table)
 
     dimensions = {"customer": lambda: silver.customer(bronze("booking"))}
+    if from_partials:
+        dimensions["customer"] = lambda: partials.built("customer", warehouse)
     dimensions |= {name: partial(lambda n: silver.dimension(n, bronze(n)), name) for name in silver.NAMED_DIMENSIONS}
     counts = together(warehouse.spark, {f"silver.{t}": partial(write, t, build) for t, build in dimensions.items()})
 
@@ -97,8 +99,13 @@ def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
 
 
 def gold_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None, target_date: date | None = None,
-                 by_month: bool = False) -> Counts:
-    """Rebuild the three aggregates from Silver; by month from the bookings that carry their extraction month."""
+                 by_month: bool = False, from_partials: bool = False) -> Counts:
+    """Rebuild the three aggregates from Silver; by month from the bookings that carry their extraction month.
+
+    ``from_partials`` adds up the stored partials of all months and reads no booking.
+    """
+    if from_partials and (by_month or target_date is not None):
+        raise ValueError("partials have no result by month or for a single day")
     run_ts = run_ts or utc_now()
     bookings = warehouse.read("silver", "booking")
     if by_month:
@@ -113,6 +120,8 @@ def gold_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None, target
         "location_analytics": lambda: gold.location_analytics(
             bookings, warehouse.read("silver", "location"), by_month=by_month),
     }
+    if from_partials:
+        builds = {table: partial(partials.built, table, warehouse) for table in builds}
 
     def write(table: str) -> int:
         return warehouse.overwrite(audit(builds[table](), run_ts), "gold", table)
@@ -220,10 +229,18 @@ def run_all_months(spark: SparkSession, warehouse_root: str, source_file: str |
     return {"bronze": bronze_counts, **backfill(spark, warehouse_root, run_ts=run_ts)}
 
 
-def incremental(spark: SparkSession, warehouse_root: str, source_file: str, extraction_date: date | None = None,
-                **options) -> dict[str, Counts]:
-    """All layers for a new file, limited to the month of the extraction date."""
-    return run(spark, warehouse_root, source_file, extraction_date, **options)
+def incremental(spark: SparkSession, warehouse_root: str, source_file: str, extraction_date: date | None = None, *,
+                run_ts: datetime | None = None, **options) -> dict[str, Counts]:
+    """All layers for a new file, limited to the month of the extraction date.
+
+    Customers and Gold are added up from partials by month, of which only the file's own month is renewed.
+    """
+    warehouse, run_ts = Warehouse(spark, warehouse_root), run_ts or utc_now()
+    day = extraction_date or run_ts.date()
+    results = run(spark, warehouse_root, source_file, day, run_silver=False, run_gold=False, run_ts=run_ts, **options)
+    partials.refresh(warehouse, [month_key(day)])
+    return results | {"silver": silver_refresh(warehouse, run_ts=run_ts, from_partials=True),
+                      "gold": gold_refresh(warehouse, run_ts=run_ts, from_partials=True)}
 
 
 def backfill(spark: SparkSession, warehouse_root: str, *, run_ts: datetime | None = None) -> dict[str, Counts]:

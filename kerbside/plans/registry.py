@@ -15,7 +15,7 @@ from kerbside.operators.keep_first import keep_first
 from kerbside.operators.profile import QUARTILES, column_profile, describe, table_size
 from kerbside.operators.settle import settle
 from kerbside.operators.upsert import upsert
-from kerbside.plans import bronze, dashboard, gold, marts, reports, silver, sql_views, verification
+from kerbside.plans import bronze, dashboard, gold, marts, partials, reports, silver, sql_views, verification
 from kerbside.plans.star_warehouse import StarWarehouse, star_warehouse
 from kerbside.schemas import AUDIT_COLUMNS, SOURCE_COLUMNS, TABLES
 from kerbside.session import shared_folder
@@ -152,6 +152,14 @@ def gold_locations(layers: StarWarehouse, by_month: bool) -> DataFrame:
 
 # ---- read side ----
 
+def _from_partials(name: str, layers: StarWarehouse) -> DataFrame:
+    """A table added up from the partials of all months, one of which was emptied and brought back."""
+    for table in ("customer", "vehicle_type", "booking_status", "location"):
+        layers.silver(table)
+    layers.partials(MONTH)
+    return partials.built(name, layers.store)
+
+
 def _stored_months(layers: StarWarehouse) -> DataFrame:
     layers.bronze("booking")
     return dashboard.available_months(layers.store)
@@ -228,6 +236,8 @@ def all_queries() -> dict[str, Query]:
                         ("location_analytics", gold_locations)):
         queries[f"gold_{name}"] = on_layers(partial(build, by_month=False))
         queries[f"gold_{name}_by_month"] = on_layers(partial(build, by_month=True))
+    queries |= {f"inc_{name}": on_layers(partial(_from_partials, name)) for name in (
+        "customer", "daily_booking_summary", "customer_analytics", "location_analytics")}
     queries |= {
         "dash_months": on_layers(_stored_months),
         "dash_filter_direct": on_layers(lambda w: dashboard.filter_direct(w.bronze("ride"), MONTH)),

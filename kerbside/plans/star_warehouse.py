@@ -14,7 +14,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.operators.settle import settle
-from kerbside.plans import gold, silver
+from kerbside.plans import gold, partials, silver
 from kerbside.plans.bronze import extract
 from kerbside.schemas import TABLES
 from kerbside.session import shared_folder
@@ -82,6 +82,16 @@ class StarWarehouse:
     def gold(self, table: str) -> DataFrame:
         return self.table("gold", table)
 
+    def partials(self, again: str) -> None:
+        """Partial totals of all months; those of one month are emptied and renewed from its bookings alone."""
+        if ("partials", again) not in self._built:
+            self.bronze("booking")
+            partials.refresh(self.store, [])
+            for name in partials.PARTIALS:
+                self.store.stage_months(self.store.read("partials", name).limit(0), name, "partials").put([again])
+            partials.refresh(self.store, [again])
+            self._built.add(("partials", again))
+
     def dimensions(self) -> dict[str, DataFrame]:
         return {name: self.silver(name) for name in silver.NAMED_DIMENSIONS}
 

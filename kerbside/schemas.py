@@ -61,6 +61,15 @@ TABLES: dict[str, dict[str, str]] = {
     },
 }
 
+_SUMS = "n_values BIGINT, high BIGINT, low BIGINT, other DOUBLE, extraction_month STRING"
+
+#: Stored beside the layers: totals of the bookings by month, which add up to the customer dimension and to Gold.
+PARTIALS: dict[str, str] = {
+    "customer": f"customer_id STRING, n_bookings BIGINT, first_date DATE, last_date DATE, {_SUMS}",
+    "daily": f"date DATE, vehicle_type STRING, booking_status STRING, n_bookings BIGINT, {_SUMS}",
+    "location": f"location STRING, pickup_rows BIGINT, pickups BIGINT, dropoffs BIGINT, {_SUMS}",
+}
+
 # Header of the source file, our column name, target type.
 SOURCE_COLUMNS: list[tuple[str, str, str]] = [
     ("Date", "date", "date"),
@@ -93,7 +102,7 @@ OPTIONAL_SOURCE_COLUMNS = {"avg_vtat", "avg_ctat", "customer_cancel_reason", "dr
 @cache
 def schema_of(layer: str, table: str) -> T.StructType:
     """The declared schema of one stored table; every field is nullable."""
-    return T.StructType.fromDDL(TABLES[layer][table])
+    return T.StructType.fromDDL(PARTIALS[table] if layer == "partials" else TABLES[layer][table])
 
 
 def all_tables() -> list[tuple[str, str]]:

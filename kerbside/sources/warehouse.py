@@ -25,6 +25,7 @@ from kerbside.schemas import AUDIT_COLUMNS, all_tables, schema_of
 from kerbside.sources.files import child_names, delete_tree, move, path_exists
 
 MONTH = "extraction_month"
+BY_MONTH = ("bronze", "partials")  # layers in folders by month
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -64,9 +65,9 @@ class Warehouse:
         """Declared tables that are stored, in layer order."""
         return [(layer, table) for layer, table in all_tables() if self.exists(layer, table)]
 
-    def stored_months(self, table: str) -> list[str]:
-        """Months of a Bronze table, from its partition folders alone."""
-        names = child_names(self.spark, self.path("bronze", table))
+    def stored_months(self, table: str, layer: str = "bronze") -> list[str]:
+        """Months of a table by month, from its partition folders alone."""
+        names = child_names(self.spark, self.path(layer, table))
         return [n.split("=", 1)[1] for n in names if n.startswith(f"{MONTH}=")]
 
     def read(self, layer: str, table: str, columns: Sequence[str] | None = None,
@@ -88,14 +89,14 @@ class Warehouse:
         """Store an empty table if there is none; an existing one is left alone."""
         if not self.exists(layer, table):
             self._store(self.spark.createDataFrame([], schema_of(layer, table)), self.path(layer, table), "append",
-                        by_month=layer == "bronze")
+                        by_month=layer in BY_MONTH)
 
     def append(self, df: DataFrame, layer: str, table: str) -> int:
         """Add rows to an existing table; loading the same rows twice stores them twice."""
         if not self.exists(layer, table):
             raise ValueError(f"no table {layer}.{table}: create it first")
         return self._store(conform(df, schema_of(layer, table)), self.path(layer, table), "append",
-                           by_month=layer == "bronze")
+                           by_month=layer in BY_MONTH)
 
     def _aside(self, layer: str, table: str) -> str:
         """A new folder below the root; names with a leading underscore are no tables."""
@@ -121,18 +122,18 @@ class Warehouse:
         """Replace a table.  An empty result empties it, unless ``keep_on_empty``."""
         rows = conform(df, schema_of(layer, table))
         new = self._aside(layer, table)
-        written = self._store(rows, new, "errorifexists", by_month=layer == "bronze")
+        written = self._store(rows, new, "errorifexists", by_month=layer in BY_MONTH)
         if written == 0 and keep_on_empty:
             delete_tree(self.spark, new)
         else:
             self._swap(new, self.path(layer, table))
         return written
 
-    def stage_months(self, df: DataFrame, table: str) -> StagedMonths:
-        """Write the rows of some months of a Bronze table beside it, by month; nothing is replaced yet."""
-        path = self._aside("bronze", table)
-        rows = self._store(conform(df, schema_of("bronze", table)), path, "errorifexists", by_month=True)
-        return StagedMonths(self, table, path, rows)
+    def stage_months(self, df: DataFrame, table: str, layer: str = "bronze") -> StagedMonths:
+        """Write the rows of some months of a table beside it, by month; nothing is replaced yet."""
+        path = self._aside(layer, table)
+        rows = self._store(conform(df, schema_of(layer, table)), path, "errorifexists", by_month=True)
+        return StagedMonths(self, table, path, rows, layer)
 
     def replace_months(self, df: DataFrame, table: str, months: Sequence[str]) -> int:
         """Replace the given months of a Bronze table, also those without a row in ``df``."""
@@ -176,18 +177,19 @@ class Warehouse:
 
 @dataclass(frozen=True)
 class StagedMonths:
-    """Rows of a Bronze table written beside it, to take the place of the months they belong to."""
+    """Rows of a table by month written beside it, to take the place of the months they belong to."""
 
     warehouse: Warehouse
     table: str
     path: str
     rows: int
+    layer: str = "bronze"
 
     def put(self, months: Sequence[str]) -> None:
         """Swap in these months; one that has no rows here is emptied.  Only folders are renamed."""
-        spark, target = self.warehouse.spark, self.warehouse.path("bronze", self.table)
-        if not self.warehouse.exists("bronze", self.table):
-            self.warehouse.create("bronze", self.table)
+        spark, target = self.warehouse.spark, self.warehouse.path(self.layer, self.table)
+        if not self.warehouse.exists(self.layer, self.table):
+            self.warehouse.create(self.layer, self.table)
         here = set(child_names(spark, self.path))
         for month in months:
             name = f"{MONTH}={month}"
