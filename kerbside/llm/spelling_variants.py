@@ -172,10 +172,10 @@ def near_words(words: DataFrame) -> DataFrame:
         _codes, "id long, word string, n long, code long"), "folded-words")
     bitmap = words.sparkSession.sparkContext.broadcast(code_bitmap(named))
     around = named.select("id", "word").mapInArrow(_neighbours(bitmap), "id long, code long")
-    met = around.join(named.select(F.col("id").alias("other"), "code"), "code").where("id <> other").select("id", "other").distinct()
-    one, two = (named.select(F.col("id").alias(i), F.col("word").alias(w), F.col("n").alias(n))
-                for i, w, n in (("id", "word", "n"), ("other", "near", "near_n")))
-    return met.join(one, "id").join(two, "other").where(F.levenshtein("word", "near", 1) == 1).select("word", "n", "near", "near_n")
+    # A word's neighbours have distinct codes, so a pair meets once; the other word travels with it.
+    others = named.select(F.col("id").alias("other"), "code", F.col("word").alias("near"), F.col("n").alias("near_n"))
+    met = around.join(others, "code").where("id <> other").select("id", "near", "near_n")
+    return met.join(named.select("id", "word", "n"), "id").where(F.levenshtein("word", "near", 1) == 1).select("word", "n", "near", "near_n")
 
 
 def roots(forms: DataFrame) -> DataFrame:
