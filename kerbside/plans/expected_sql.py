@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from kerbside.functions.text import BLANKS
-from kerbside.plans.registry import AS_OF, MONTH
+from kerbside.plans.registry import AS_OF, FIRST_SEEN, MONTH
 from kerbside.schemas import SOURCE_COLUMNS, TABLES
 from kerbside.sources.ride_star import MAPPING, ROW_ORDER, SOURCE_FILE, STATUS
 
@@ -262,6 +262,9 @@ def _bodies() -> dict[str, str]:
             "(" + SEEN.format(f"(select * from bronze_booking where extraction_month <= '{AS_OF}')") + ")"),
         "cat_table_listing": _listing(list(TABLES)),
     }
+    bodies |= {"store_upsert_months": bodies["store_upsert"], "key_stable_customers": f"""
+        select row_number() over (order by first > '{FIRST_SEEN}', name) as customer_key, name
+        from (select customer_id as name, min(extraction_month) as first from bronze_booking where customer_id is not null group by 1)"""}
     bodies |= {"inc_customer": "select * from silver_customer"}
     bodies |= {f"inc_{t}": f"select * from gold_{t}" for t in TABLES["gold"]}
     bodies |= {f"bronze_{t}": f"select * from bronze_{t}" for t in TABLES["bronze"]}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.calendar import in_month, month_key
 from kerbside.operators.settle import settled
+from kerbside.operators.stable_id import new_ids
 from kerbside.plans import gold, partials, silver
 from kerbside.plans.bronze import EXTRACTS, extract
 from kerbside.sources.files import child_names, delete_tree, matches
@@ -71,9 +72,14 @@ def bronze_load(warehouse: Warehouse, prepared: DataFrame, *, month: str | None
 
 
 def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
-                   extraction_month: str | None = None, from_partials: bool = False) -> Counts:
-    """Rebuild the dimensions, then the facts that look them up; ``from_partials`` adds customers up by month."""
+                   extraction_month: str | None = None, from_partials: bool = False, stable_ids: bool = False) -> Counts:
+    """Rebuild the dimensions, then the facts that look them up; ``from_partials`` adds customers up by month.
+
+    With ``stable_ids``, and from then on, a name keeps the id it got first and new names are numbered on; otherwise
+    ids follow name order.
+    """
     run_ts = run_ts or utc_now()
+    stable_ids = stable_ids or warehouse.has_key_maps()
 
     def bronze(table: str) -> DataFrame:
         return silver.only_month(warehouse.read("bronze", table), extraction_month)
@@ -82,6 +88,8 @@ def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
         return warehouse.overwrite(audit(build(), run_ts), "silver", table)
 
     dimensions = {"customer": lambda: silver.customer(bronze("booking"))}
+    if stable_ids:
+        dimensions |= {name: partial(lambda n: _stable_dimension(warehouse, n, bronze(n)), name) for name in silver.NAMED_DIMENSIONS}
     if from_partials:
         dimensions["customer"] = lambda: partials.built("customer", warehouse)
     dimensions |= {name: partial(lambda n: silver.dimension(n, bronze(n)), name) for name in silver.NAMED_DIMENSIONS}
@@ -98,6 +106,14 @@ def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,
         warehouse.spark, {f"silver.{t}": partial(write, t, build) for t, build in facts.items()})
 
 
+def _stable_dimension(warehouse: Warehouse, name: str, bronze: DataFrame) -> DataFrame:
+    """The names that Bronze has, with the ids of the stored key map; new names are added to it first."""
+    key = silver.NAMED_DIMENSIONS[name][1]
+    names = silver.names_of(name, bronze)
+    warehouse.add_keys(new_ids(names, warehouse.key_map(name, key), key), name)
+    return warehouse.key_map(name, key).join(names, "name", "left_semi").select(key, "name")
+
+
 def gold_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None, target_date: date | None = None,
                  by_month: bool = False, from_partials: bool = False) -> Counts:
     """Rebuild the three aggregates from Silver; by month from the bookings that carry their extraction month.
@@ -230,16 +246,17 @@ def run_all_months(spark: SparkSession, warehouse_root: str, source_file: str |
 
 
 def incremental(spark: SparkSession, warehouse_root: str, source_file: str, extraction_date: date | None = None, *,
-                run_ts: datetime | None = None, **options) -> dict[str, Counts]:
+                run_ts: datetime | None = None, stable_ids: bool = False, **options) -> dict[str, Counts]:
     """All layers for a new file, limited to the month of the extraction date.
 
-    Customers and Gold are added up from partials by month, of which only the file's own month is renewed.
+    Customers and Gold are added up from partials by month, of which only the file's own month is renewed;
+    ``stable_ids`` is as for ``silver_refresh``.
     """
     warehouse, run_ts = Warehouse(spark, warehouse_root), run_ts or utc_now()
     day = extraction_date or run_ts.date()
     results = run(spark, warehouse_root, source_file, day, run_silver=False, run_gold=False, run_ts=run_ts, **options)
     partials.refresh(warehouse, [month_key(day)])
-    return results | {"silver": silver_refresh(warehouse, run_ts=run_ts, from_partials=True),
+    return results | {"silver": silver_refresh(warehouse, run_ts=run_ts, from_partials=True, stable_ids=stable_ids),
                       "gold": gold_refresh(warehouse, run_ts=run_ts, from_partials=True)}
 
 

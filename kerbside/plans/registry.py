@@ -14,6 +14,7 @@ from kerbside.functions.text import clean_text, na_to_null, to_date, to_number
 from kerbside.operators.keep_first import keep_first
 from kerbside.operators.profile import QUARTILES, column_profile, describe, table_size
 from kerbside.operators.settle import settle
+from kerbside.operators.stable_id import new_ids
 from kerbside.operators.upsert import upsert
 from kerbside.plans import bronze, dashboard, gold, marts, partials, reports, silver, sql_views, verification
 from kerbside.plans.star_warehouse import StarWarehouse, star_warehouse
@@ -22,6 +23,7 @@ from kerbside.session import shared_folder
 from kerbside.sources.files import delete_tree
 from kerbside.sources.ride_csv import BAD_RECORD, order_columns, read_raw, stamp, tidy
 from kerbside.sources.ride_star import raw_rides, read_table, ride_source
+from kerbside.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 MONTH = "1997-03"
 # The state shown by the as-of query, and where the upsert splits old from new.
 AS_OF = "1998-06"
+# Up to where the first customers get their ids.
+FIRST_SEEN = "1992-06"
 
 
 def _without_audit(df: DataFrame) -> DataFrame:
@@ -102,6 +106,25 @@ def store_upsert(layers: StarWarehouse) -> DataFrame:
     return upsert(older, rows.where(F.col("extraction_month") > AS_OF), ["booking_id"], newest)
 
 
+def store_upsert_months(layers: StarWarehouse) -> DataFrame:
+    """Later bookings upserted into a stored table of the earlier ones: only the months they touch are rewritten."""
+    rows = layers.bronze("booking")
+    store = Warehouse(layers.spark, f"{layers.store.root}/_upserts/{uuid4().hex}")
+    newest = [F.desc("extraction_month")]
+    store.create("bronze", "booking")
+    store.append(keep_first(rows.where(F.col("extraction_month") <= AS_OF), ["booking_id"], newest), "bronze", "booking")
+    store.upsert(rows.where(F.col("extraction_month") > AS_OF), "bronze", "booking", ["booking_id"], newest)
+    return store.read("bronze", "booking", ["booking_id", "extraction_month", "booking_status", "booking_value", "date"])
+
+
+def key_stable_customers(layers: StarWarehouse) -> DataFrame:
+    """Ids of customers: those seen up to a month were numbered first and keep their ids when the others come."""
+    people = layers.bronze("booking").select(F.col("customer_id").alias("name"), "extraction_month")
+    nobody = layers.spark.createDataFrame([], "customer_key bigint, name string")
+    first = settle(new_ids(people.where(F.col("extraction_month") <= FIRST_SEEN), nobody, "customer_key"), "keys")
+    return first.unionByName(new_ids(people, first, "customer_key"))
+
+
 def store_as_of_month(layers: StarWarehouse) -> DataFrame:
     """Customer analytics as they stood when a month had been loaded."""
     layers.bronze("booking")
@@ -223,6 +246,8 @@ def all_queries() -> dict[str, Query]:
         "src_month_slice": src_month_slice,
         "store_read_projected": on_layers(store_read_projected),
         "store_upsert": on_layers(store_upsert),
+        "store_upsert_months": on_layers(store_upsert_months),
+        "key_stable_customers": on_layers(key_stable_customers),
         "store_as_of_month": on_layers(store_as_of_month),
     }
     queries |= {f"bronze_{name}": bronze_table(name) for name in bronze.EXTRACTS}

@@ -49,9 +49,13 @@ def dimension(name: str, bronze: DataFrame) -> DataFrame:
 
     Only names matter, so rows repeated by key may be in ``bronze`` or not.
     """
-    source, key = NAMED_DIMENSIONS[name]
-    names = bronze.select(F.col(source).alias("name")).where(F.col("name").isNotNull()).distinct()
-    return dense_id(names, key, ["name"]).select(key, "name")
+    key = NAMED_DIMENSIONS[name][1]
+    return dense_id(names_of(name, bronze), key, ["name"]).select(key, "name")
+
+
+def names_of(name: str, bronze: DataFrame) -> DataFrame:
+    """Distinct names of a dimension."""
+    return bronze.select(F.col(NAMED_DIMENSIONS[name][0]).alias("name")).where(F.col("name").isNotNull()).distinct()
 
 
 def booking(bronze_booking: DataFrame, dimensions: dict[str, DataFrame], *, carry_month: bool = False) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
@@ -20,11 +21,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.operators.keep_first import keep_first
+from kerbside.operators.settle import settled
 from kerbside.operators.upsert import insert_new, upsert
 from kerbside.schemas import AUDIT_COLUMNS, all_tables, schema_of
 from kerbside.sources.files import child_names, delete_tree, move, path_exists
 
 MONTH = "extraction_month"
+PUSHED_KEYS = 10  # as many as the scan compares one by one with a row group's filters
 BY_MONTH = ("bronze", "partials")  # layers in folders by month
 
 
@@ -51,9 +55,11 @@ def together(spark: SparkSession, work: Mapping[str, Callable[[], int]], at_once
 class Warehouse:
     """Typed reads and idempotent writes below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, key_filters: Sequence[str] = ()):
+        """``key_filters`` names columns whose Parquet Bloom filters are written, so that few keys are found cheaply."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.key_filters = tuple(key_filters)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -147,9 +153,33 @@ class Warehouse:
 
     def upsert(self, updates: DataFrame, layer: str, table: str, keys: Sequence[str],
                newest_first: Sequence[str | Column]) -> int:
-        """Merge by key, latest wins.  The result is written whole before it replaces its own input."""
-        merged = upsert(self.read(layer, table), conform(updates, schema_of(layer, table)), keys, newest_first)
-        return self.overwrite(merged, layer, table)
+        """Merge by key, latest wins; rows written.
+
+        Of a table by month only the folders are rewritten that hold an updated key or get an update; all others keep
+        their files.  Another table is written whole before it replaces its own input.
+        """
+        rows = conform(updates, schema_of(layer, table))
+        if layer not in BY_MONTH:
+            return self.overwrite(upsert(self.read(layer, table), rows, keys, newest_first), layer, table)
+        with settled(keep_first(rows, keys, newest_first), "updates") as newest:
+            months = self.touched_months(newest, layer, table, keys)
+            kept = self.read(layer, table, where=F.col(MONTH).isin(months))
+            staged = self.stage_months(upsert(kept, newest, keys, newest_first), table, layer)
+            staged.put(months)
+            return staged.rows
+
+    def touched_months(self, updates: DataFrame, layer: str, table: str, keys: Sequence[str]) -> list[str]:
+        """Months of a table that an upsert changes: from the key columns alone, with a pushed filter for few keys."""
+        own = {r[0] for r in updates.select(MONTH).distinct().collect()}  # calendar months
+        if None in own:
+            raise ValueError(f"an update of {layer}.{table} has no {MONTH}")
+        stored = self.read(layer, table, [*keys, MONTH])
+        some = updates.select(keys[0]).distinct().limit(PUSHED_KEYS + 1).collect()
+        if len(some) <= PUSHED_KEYS and all(r[0] is not None for r in some):
+            stored = stored.where(F.col(keys[0]).isin([r[0] for r in some]))
+        changed = updates.select(*keys).distinct()
+        same = reduce(lambda a, b: a & b, [stored[k].eqNullSafe(changed[k]) for k in keys])
+        return sorted(own | {r[0] for r in stored.join(changed, same, "left_semi").select(MONTH).distinct().collect()})
 
     def add_new(self, df: DataFrame, table: str, keys: Sequence[str], months: Sequence[str]) -> int:
         """Append the rows whose key is not stored yet in their month.
@@ -161,6 +191,19 @@ class Warehouse:
         stored = self.read("bronze", table, where=F.col(MONTH).isin(list(months)))
         return self.append(insert_new(stored, rows, keys), "bronze", table)
 
+    def key_map(self, name: str, key: str) -> DataFrame:
+        """Stored (key, name) of every name that ever got an id; empty if none has."""
+        path = f"{self.root}/keys/{name}"
+        schema = f"{key} bigint, name string"
+        return self.spark.read.schema(schema).parquet(path) if path_exists(self.spark, path) else self.spark.createDataFrame([], schema)
+
+    def has_key_maps(self) -> bool:
+        return path_exists(self.spark, f"{self.root}/keys")
+
+    def add_keys(self, rows: DataFrame, name: str) -> int:
+        """Add names to a key map in one committed write."""
+        return self._store(rows, f"{self.root}/keys/{name}", "append")
+
     def as_of_month(self, table: str, month: str) -> DataFrame:
         """Bronze rows loaded up to a month; Silver and Gold built on them show that state."""
         return self.read("bronze", table, where=F.col(MONTH) <= month)
@@ -171,6 +214,8 @@ class Warehouse:
         seen = Observation()
         rows = df.hint("rebalance", MONTH) if by_month else df
         writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        for column in set(self.key_filters) & set(df.columns):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
         (writer.partitionBy(MONTH) if by_month else writer).parquet(path)
         return seen.get["rows"]
 
