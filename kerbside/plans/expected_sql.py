@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from kerbside.functions.text import BLANKS
-from kerbside.plans.registry import AS_OF, FIRST_SEEN, MONTH
+from kerbside.plans.registry import AS_OF, FIRST_SEEN, MONTH, SPANS
 from kerbside.schemas import SOURCE_COLUMNS, TABLES
 from kerbside.sources.ride_star import MAPPING, ROW_ORDER, SOURCE_FILE, STATUS
 
@@ -265,6 +265,11 @@ def _bodies() -> dict[str, str]:
     bodies |= {"store_upsert_months": bodies["store_upsert"], "key_stable_customers": f"""
         select row_number() over (order by first > '{FIRST_SEEN}', name) as customer_key, name
         from (select customer_id as name, min(extraction_month) as first from bronze_booking where customer_id is not null group by 1)"""}
+    bodies["report_retention_span"] = " union all ".join(f"""
+        select '{a}..{b}' as span, '{c}..{d}' as later_span, count(*) filter (early) as customers, count(*) filter (late) as later_customers,
+               count(*) filter (early and late) as came_back, 100.0 * count(*) filter (early and late) / nullif(count(*) filter (early), 0) as retention_percent
+        from (select customer_id, bool_or(extraction_month between '{a}' and '{b}') as early, bool_or(extraction_month between '{c}' and '{d}') as late
+              from bronze_booking where customer_id is not null group by 1)""" for a, b, c, d in SPANS)
     bodies |= {"inc_customer": "select * from silver_customer"}
     bodies |= {f"inc_{t}": f"select * from gold_{t}" for t in TABLES["gold"]}
     bodies |= {f"bronze_{t}": f"select * from bronze_{t}" for t in TABLES["bronze"]}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.calendar import month_start
 from kerbside.functions.text import clean_text, na_to_null, to_date, to_number
+from kerbside.operators.dense_id import dense_id
 from kerbside.operators.keep_first import keep_first
 from kerbside.operators.profile import QUARTILES, column_profile, describe, table_size
 from kerbside.operators.settle import settle
@@ -31,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 MONTH = "1997-03"
 # The state shown by the as-of query, and where the upsert splits old from new.
 AS_OF = "1998-06"
+# Spans of months compared by customer retention.
+SPANS = [("1995-01", "1995-12", "1996-01", "1996-12"), ("1997-01", "1997-01", "1997-02", "1997-02"), ("1990-01", "1990-12", "1992-01", "1992-03")]
 # Up to where the first customers get their ids.
 FIRST_SEEN = "1992-06"
 
@@ -125,6 +128,13 @@ def key_stable_customers(layers: StarWarehouse) -> DataFrame:
     return first.unionByName(new_ids(people, first, "customer_key"))
 
 
+def report_retention_span(layers: StarWarehouse) -> DataFrame:
+    """Customers of a span of months that book again in a later one, from month bitmaps of dense customer ids."""
+    people = layers.silver("customer").select(F.col("customer_id").alias("name"))
+    ids = settle(dense_id(people, "id", ["name"]).withColumnRenamed("name", "customer_id"), "customer-ids")
+    return reports.retention_between(settle(reports.customer_bitmaps(layers.bronze("booking"), ids), "month-bitmaps"), SPANS)
+
+
 def store_as_of_month(layers: StarWarehouse) -> DataFrame:
     """Customer analytics as they stood when a month had been loaded."""
     layers.bronze("booking")
@@ -300,6 +310,7 @@ def all_queries() -> dict[str, Query]:
         "report_mom_growth": on_layers(lambda w: reports.mom_growth(w.bronze("booking"))),
         "report_first_booking_cohort": on_layers(lambda w: reports.first_booking_cohort(_customers(w))),
         "report_daily_revenue": on_layers(lambda w: reports.daily_revenue(_daily(w), MONTH)),
+        "report_retention_span": on_layers(report_retention_span),
         "report_peak_hours": on_layers(lambda w: reports.peak_hours(w.silver("booking"))),
         "report_revenue_share": on_layers(lambda w: reports.revenue_share(_daily(w))),
         "report_bookings_per_month": on_layers(lambda w: reports.bookings_per_month(w.silver("booking"))),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions.calendar import in_month, month_of
 from kerbside.functions.money import money_sum, percent
+from kerbside.operators.bitmaps import bitmaps, common_to, n_ids, union_of
 
 
 def previous_month_value(value: str, month: str) -> Column:
@@ -81,3 +85,24 @@ def bookings_per_month(silver_booking: DataFrame) -> DataFrame:
         .agg(F.count("booking_id").alias("bookings"))
         .select(month_of(F.col("first_day")).alias("month"), "bookings").orderBy("month")
     )
+
+
+def customer_bitmaps(bronze_booking: DataFrame, customers: DataFrame) -> DataFrame:
+    """(month, bucket, bits): the customers of every month; ``customers`` (customer_id, id) numbers them densely."""
+    rows = bronze_booking.where(F.col("customer_id").isNotNull()).select("customer_id", F.col("extraction_month").alias("month"))
+    return bitmaps(rows.distinct().join(customers, "customer_id"), "id", ["month"])
+
+
+def retention_between(monthly: DataFrame, spans: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """For (first month, last month) of two spans each: customers of the first, of the second, of both, and their share.
+
+    Only bitmaps are read and merged, whatever the spans; the bookings are not touched again.
+    """
+    def line(a: str, b: str, c: str, d: str) -> DataFrame:
+        early, late = (union_of(monthly.where(F.col("month").between(lo, hi))) for lo, hi in ((a, b), (c, d)))
+        counted = n_ids(early).withColumnRenamed("n", "customers").withColumns({
+            "later_customers": n_ids(late).scalar(), "came_back": n_ids(common_to(early, late)).scalar()})
+        return counted.select(F.lit(f"{a}..{b}").alias("span"), F.lit(f"{c}..{d}").alias("later_span"), "*",
+                              percent(F.col("came_back").cast("double"), F.col("customers").cast("double")).alias("retention_percent"))
+
+    return reduce(DataFrame.unionByName, [line(*span) for span in spans])

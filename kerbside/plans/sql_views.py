@@ -109,8 +109,29 @@ def sample(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(SAMPLES[name])
 
 
-def run_sql(spark: SparkSession, text: str) -> SqlResult:
-    """Run any Spark SQL over the views once, all its columns; errors come back as text.
+# What may be run besides queries: statements that only tell about tables.
+TELLING = ("Describe", "Show", "Explain")
+
+
+def changing_command(spark: SparkSession, text: str) -> str | None:
+    """The kind of statement in ``text`` that changes something, by its parsed plan; None for queries."""
+    kinds = [spark._jvm.java.lang.Class.forName(f"org.apache.spark.sql.catalyst.plans.logical.{k}") for k in ("Command", "ParsedStatement")]
+
+    def first(plan) -> str | None:
+        name = plan.getClass().getSimpleName()
+        if any(k.isInstance(plan) for k in kinds) and not name.startswith(TELLING):
+            return name
+        children = plan.children()
+        return next((found for i in range(children.size()) if (found := first(children.apply(i)))), None)
+
+    return first(spark._jsparkSession.sessionState().sqlParser().parsePlan(text))
+
+
+def run_sql(spark: SparkSession, text: str, args: dict | list | None = None) -> SqlResult:
+    """Run a Spark SQL query over the views once, all its columns; errors come back as text.
+
+    ``args`` fills parameters (``:name`` or ``?``) by value, never by text.  Statements that would change a table, a
+    view or a setting are not run.
 
     The rows are written to the shared folder while they are counted, in the
     result's order, and ``frame`` reads them from there.
@@ -118,7 +139,9 @@ def run_sql(spark: SparkSession, text: str) -> SqlResult:
     started = time.monotonic()
     path = f"{shared_folder(spark)}/kerbside/sql-{uuid4().hex}"
     try:
-        frame = spark.sql(text)
+        if (command := changing_command(spark, text)) is not None:
+            return SqlResult(None, f"only queries are run here, not {command}", None, None, time.monotonic() - started)
+        frame = spark.sql(text, args=args)
         seen = Observation()
         # Names may repeat or be empty in a result, but not in a file.
         plain = frame.toDF(*[f"c{i}" for i in range(len(frame.columns))]).observe(seen, F.count(F.lit(1)).alias("rows"))
