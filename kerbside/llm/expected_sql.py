@@ -73,20 +73,20 @@ EXPECTED_SQL: dict[str, str] = {
         ), doc_shingle as (
             select doc_id, unnest(sh) as s, generate_subscripts(sh, 1) - 1 as pos from doc
         ), windows as (
-            select distinct doc_id, class, start_no * (class // 4) as start from (
-                select doc_id, class, unnest(range(greatest(0, cast(ceil((pos + 3 - class * 1.25) / (class / 4)) as bigint)),
-                                                   cast(floor(pos / (class / 4)) as bigint) + 1)) as start_no
-                from (select distinct doc_id, class, pos from doc_shingle join template_shingle using (s)))
+            select distinct doc_id, class, quarters, start_no * (class // 4) as start from (
+                select doc_id, class, quarters, unnest(range(greatest(0, cast(ceil((pos + 3 - class * quarters / 4) / (class / 4)) as bigint)),
+                                                             cast(floor(pos / (class / 4)) as bigint) + 1)) as start_no
+                from (select distinct doc_id, class, pos, unnest([5, 8]) as quarters from doc_shingle join template_shingle using (s)))
         ), contained as (
-            select w.doc_id, t.license, w.start, count(distinct t.s) / any_value(t.size) as containment
+            select w.doc_id, t.license, w.quarters, w.start, count(distinct t.s) / any_value(t.size) as containment
             from windows w
-            join doc_shingle d on d.doc_id = w.doc_id and d.pos >= w.start and d.pos + 3 <= w.start + w.class * 1.25
+            join doc_shingle d on d.doc_id = w.doc_id and d.pos >= w.start and d.pos + 3 <= w.start + w.class * w.quarters / 4
             join template_shingle t on t.class = w.class and t.s = d.s
-            group by w.doc_id, t.license, w.start
+            group by w.doc_id, t.license, w.quarters, w.start
         )
         select doc_id, license, cast(start as int) as window_start, round(containment, 9) as containment
         from contained where containment >= 0.8
-        qualify row_number() over (partition by doc_id, license order by containment desc, start) = 1""",
+        qualify row_number() over (partition by doc_id, license order by quarters, containment desc, start) = 1""",
     "op8_line_dedup": rf"""
         with parts as (
             select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
