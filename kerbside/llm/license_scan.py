@@ -2,8 +2,8 @@
 
 Templates are put in size classes (powers of two words).  A text is cut into windows that start every quarter of the
 class.  Those a quarter longer than the class hold any passage of a template's length whole; those twice as long as
-the class hold a notice with words inserted, up to 1.75 classes, wherever it starts, and are asked where the shorter
-find nothing.  A short window shares at least 0.29 of all shingles involved with a template contained to 0.8, and one
+the class hold a notice with words inserted, up to 1.75 classes, wherever it starts, and count where no shorter one
+holds enough.  A short window shares at least 0.29 of all shingles involved with a template contained to 0.8, and one
 of 32 bands of one row then collides with a probability above 0.99998; a long one 0.19, and one of 64 bands collides
 with a probability above 0.99999.  Containment of the template's shingles in the window decides.
 """
