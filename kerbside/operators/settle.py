@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from uuid import uuid4
 
 from pyspark.sql import DataFrame
 
-from kerbside.session import shared_folder
-from kerbside.sources.files import delete_tree
+from kerbside.sources.files import delete_tree, scratch_path
 
 
 def _write(df: DataFrame, label: str) -> tuple[str, DataFrame]:
-    path = f"{shared_folder(df.sparkSession)}/kerbside/{label}-{uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return path, df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -20,8 +20,7 @@ from kerbside.operators.upsert import upsert
 from kerbside.plans import bronze, dashboard, gold, marts, partials, reports, silver, sql_views, verification
 from kerbside.plans.star_warehouse import StarWarehouse, star_warehouse
 from kerbside.schemas import AUDIT_COLUMNS, SOURCE_COLUMNS, TABLES
-from kerbside.session import shared_folder
-from kerbside.sources.files import delete_tree
+from kerbside.sources.files import delete_tree, scratch_path
 from kerbside.sources.ride_csv import BAD_RECORD, order_columns, read_raw, stamp, tidy
 from kerbside.sources.ride_star import raw_rides, read_table, ride_source
 from kerbside.sources.warehouse import Warehouse
@@ -57,7 +56,7 @@ def src_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def src_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as a CSV whose texts go over lines, some records too short or too long, and read again."""
-    path = f"{shared_folder(spark)}/kerbside/records-{uuid4().hex}"
+    path = scratch_path(spark, "records")
     quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
               for c in (F.col("text"), F.col("lang"), F.col("source"))]
     fields = [F.col("doc_id").cast("string"), *quoted]

@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 from functools import reduce
-from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -13,8 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.schemas import view_name
-from kerbside.session import shared_folder
-from kerbside.sources.files import delete_tree
+from kerbside.sources.files import delete_tree, scratch_path
 from kerbside.sources.warehouse import Warehouse
 
 LISTING_VIEW = "table_listing"
@@ -137,7 +135,7 @@ def run_sql(spark: SparkSession, text: str, args: dict | list | None = None) ->
     result's order, and ``frame`` reads them from there.
     """
     started = time.monotonic()
-    path = f"{shared_folder(spark)}/kerbside/sql-{uuid4().hex}"
+    path = scratch_path(spark, "sql")
     try:
         if (command := changing_command(spark, text)) is not None:
             return SqlResult(None, f"only queries are run here, not {command}", None, None, time.monotonic() - started)

@@ -9,7 +9,6 @@ per version of the input files.
 from __future__ import annotations
 
 from datetime import datetime
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +16,7 @@ from kerbside.operators.settle import settle
 from kerbside.plans import gold, partials, silver
 from kerbside.plans.bronze import extract
 from kerbside.schemas import TABLES
-from kerbside.session import shared_folder
-from kerbside.sources.files import version_of
+from kerbside.sources.files import scratch_path, version_of
 from kerbside.sources.ride_csv import stamp
 from kerbside.sources.ride_star import ride_source
 from kerbside.sources.warehouse import Warehouse, audit
@@ -32,7 +30,7 @@ class StarWarehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.store = Warehouse(spark, f"{shared_folder(spark)}/kerbside/star-{uuid4().hex}")
+        self.store = Warehouse(spark, scratch_path(spark, "star"))
         self._built: set[tuple[str, str]] = set()
         self._prepared: DataFrame | None = None
 

@@ -1,9 +1,17 @@
-"""File-system questions, answered by whatever file system the path names."""
+"""File-system questions, answered by whatever file system the path names, and scratch folders."""
 
 from __future__ import annotations
 
+import atexit
+from uuid import uuid4
+
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
+from kerbside.session import shared_folder
+
+_APPLICATION_FOLDERS: set[str] = set()
+
 
 def _status(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -50,3 +58,20 @@ def delete_tree(spark: SparkSession, path: str) -> None:
     """Remove a folder of this program's own making, such as a run's staged rows."""
     system, target = _status(spark, path)
     system.delete(target, True)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, below a folder of this application that is removed when it ends.
+
+    A lazily read result may still need its copy, so copies stay until then.
+    """
+    root = f"{shared_folder(spark)}/kerbside/{spark.sparkContext.applicationId}"
+    if root not in _APPLICATION_FOLDERS:
+        _APPLICATION_FOLDERS.add(root)
+        atexit.register(_remove, spark, root)
+    return f"{root}/{label}-{uuid4().hex}"
+
+
+def _remove(spark: SparkSession, root: str) -> None:
+    if SparkContext._active_spark_context is not None:
+        delete_tree(spark, root)
