@@ -2,7 +2,7 @@
 
 At a similarity of 0.8 two SimHashes of 64 bits differ in about ten bits, too many for exact blocks of bits to
 bring them together.  So documents meet in MinHash bands; within a band the bit-sliced comparison abandons what
-is further apart than ``radius`` bits, and documents it links form candidate clusters.  A cluster's shingle sets
+is further apart than ``RADIUS`` bits (``SMALL_RADIUS`` for sets of few shingles, whose prints differ more), and documents it links form candidate clusters.  A cluster's shingle sets
 then travel once, and every pair of a cluster that is not linked yet is compared exactly.
 """
 
@@ -22,7 +22,8 @@ from kerbside.llm.scratch import stored
 from kerbside.llm.simhash import shingle_hashes, simhash, words_of
 
 BANDS, ROWS = 16, 4  # at 0.8: a pair misses all bands with probability 0.0002
-RADIUS = 24  # at 0.8: about 10 bits differ with a deviation of 3, 12 for sets of four and five shingles
+RADIUS = 20  # at 0.8: about 10 bits differ with a deviation of 3
+SMALL, SMALL_RADIUS = 20, 24  # sets of so few shingles: about 12 bits differ
 _PIECE = 1 << 14
 
 
@@ -45,17 +46,19 @@ def _minima(hashes: np.ndarray) -> np.ndarray:
 def _sketch(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, prints, bands = [], [], []
+            nodes, prints, bands, sizes = [], [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = np.unique(shingle_hashes(words_of(text or ""), size))
                 nodes.append(xxhash.xxh64_intdigest(hashes.tobytes()))
                 prints.append(simhash(hashes))
                 bands.append(_minima(hashes).view(np.int64))
+                sizes.append(len(hashes))
             signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (nodes, prints)]
             flat = pa.array(np.concatenate(bands)) if bands else pa.array([], pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), *signed, lists],
-                                             names=["doc_id", "row_key", "node", "fingerprint", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row_key"), *signed, pa.array(sizes, pa.int32()), lists],
+                names=["doc_id", "row_key", "node", "fingerprint", "n_shingles", "bands"])
 
     return run
 
@@ -124,10 +127,11 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
     """
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_key"),
                       F.col(text).alias("text"))
-    sketches = stored(own.mapInArrow(_sketch(size), "doc_id long, row_key long, node long, fingerprint long, bands array<long>"), "sketches")
-    nodes = stored(sketches.groupBy("node").agg(F.min(F.struct("doc_id", "row_key", "fingerprint", "bands")).alias("of")), "nodes")
-    banded = nodes.select("node", "of.fingerprint", F.posexplode("of.bands").alias("part", "bucket"))
-    clusters = connected(linked(stored(banded, "bands"), RADIUS))
+    sketches = stored(own.mapInArrow(_sketch(size), "doc_id long, row_key long, node long, fingerprint long, n_shingles int, bands array<long>"), "sketches")
+    nodes = stored(sketches.groupBy("node").agg(F.min(F.struct("doc_id", "row_key", "fingerprint", "n_shingles", "bands")).alias("of")), "nodes")
+    banded = stored(nodes.select("node", "of.fingerprint", "of.n_shingles", F.posexplode("of.bands").alias("part", "bucket")), "bands")
+    small = banded.where(F.col("n_shingles") <= SMALL)
+    clusters = connected(linked(banded, RADIUS).unionByName(linked(small, SMALL_RADIUS)))
     members = stored(clusters.join(nodes, "node").select(
         "node", F.col("root").alias("cluster"), F.col("of.doc_id").alias("doc_id"), F.col("of.row_key").alias("row_key")), "members")
     # The texts of one row per member: few, so their ids are broadcast; else the join shuffles.
