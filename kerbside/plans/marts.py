@@ -15,6 +15,7 @@ from kerbside.plans.reports import previous_month_value
 from kerbside.sources.ride_star import read_table
 
 PERIOD = ["year", "month"]
+LINES_A_TASK = 500_000
 
 
 def sales(spark, sf_dir: str) -> DataFrame:
@@ -50,15 +51,24 @@ def product_changes(sale_lines: DataFrame, product: DataFrame) -> DataFrame:
     return counts.join(product, "product_id").select("product_id", "product_name", "changes", *PERIOD)
 
 
-def _by_order(sale_lines: DataFrame) -> DataFrame:
+def _tasks(sale_lines: DataFrame) -> int:
+    """Over how many tasks lines are dealt: in proportion to their number, which a scan has from the file footers.
+
+    Left to adaptive execution, narrow lines are coalesced to one task a core, whose hash tables and sorts then grow
+    with the input.
+    """
+    return max(1, -(-sale_lines.count() // LINES_A_TASK))
+
+
+def _by_order(sale_lines: DataFrame, tasks: int) -> DataFrame:
     """Lines dealt by their order: grouping per order, with whatever else, and the join with the orders' buyers all
     find them in place, so lines are shuffled once.  An order's lines are few."""
-    return sale_lines.where(F.col("order_id").isNotNull()).repartition("order_id")
+    return sale_lines.where(F.col("order_id").isNotNull()).repartition(tasks, "order_id")
 
 
 def _per_order(sale_lines: DataFrame) -> DataFrame:
     """Lines combined per order and month."""
-    return _by_order(sale_lines).groupBy("order_id", *PERIOD).agg(money_sum(F.col("value")).alias("value"))
+    return _by_order(sale_lines, _tasks(sale_lines)).groupBy("order_id", *PERIOD).agg(money_sum(F.col("value")).alias("value"))
 
 
 def referral_revenue(sale_lines: DataFrame, buyer: DataFrame) -> DataFrame:
@@ -101,18 +111,19 @@ def customer_sales(sale_lines: DataFrame, buyer: DataFrame) -> DataFrame:
     Lines are combined per order first, so an order counts once by
     construction and the join with the buyers carries orders, not lines.
     """
+    per_order = _per_order(sale_lines)
     mart = (
-        _per_order(sale_lines).join(buyer, "order_id").groupBy("customer_id", *PERIOD)
+        per_order.join(buyer, "order_id").groupBy("customer_id", *PERIOD)
         .agg(F.count(F.lit(1)).alias("orders"), money_sum(F.col("value")).alias("revenue"))
     )
-    return _with_shares(mart, _per_order(sale_lines)).select(
+    return _with_shares(mart, per_order).select(
         "customer_id", "orders", "revenue", "orders_percent", "revenue_percent", *PERIOD)
 
 
 def customer_category(sale_lines: DataFrame, buyer: DataFrame) -> DataFrame:
     """'ocasional' with one distinct order in the month, 'frecuente' with more."""
     per_customer = (
-        _by_order(sale_lines.select("order_id", *PERIOD)).distinct().join(buyer, "order_id")
+        _by_order(sale_lines.select("order_id", *PERIOD), _tasks(sale_lines)).distinct().join(buyer, "order_id")
         .groupBy("customer_id", *PERIOD).agg(F.count(F.lit(1)).alias("orders"))
     )
     kind = F.when(F.col("orders") == 1, "ocasional").otherwise("frecuente")
@@ -137,7 +148,7 @@ def branch_sales(sale_lines: DataFrame, branch: DataFrame) -> DataFrame:
     once in the company's total.  Lines meet the branches before they are dealt
     by order, and both groupings work on what was dealt.
     """
-    served = _by_order(sale_lines.join(branch, "seller_id", "left"))
+    served = _by_order(sale_lines.join(branch, "seller_id", "left"), _tasks(sale_lines))
     mart = (
         served.where(F.col("branch").isNotNull())
         .groupBy("order_id", *PERIOD, "branch").agg(money_sum(F.col("value")).alias("value"))

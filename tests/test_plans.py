@@ -3,8 +3,9 @@
 import re
 
 from conftest import SF_DIR, plan_of
+from pyspark.sql import functions as F
 
-from kerbside.plans import dashboard, gold, silver
+from kerbside.plans import dashboard, gold, marts, silver
 from kerbside.plans.bronze import EXTRACTS, extract
 from kerbside.plans.registry import all_queries
 from kerbside.plans.star_warehouse import star_warehouse
@@ -100,3 +101,19 @@ def test_months_come_from_folder_names(spark):
 def test_frequent_customers_meet_a_filter_once(spark):
     plan = plan_of(all_queries()["dash_filter_customer_id"](spark, SF_DIR))
     assert re.search(r"HashAggregate\(keys=\[customer_id", plan)
+
+
+def test_marts_deal_lines_in_proportion_to_their_number(spark, monkeypatch):
+    """Not over one task a core, whose memory would grow with the lines."""
+    monkeypatch.setattr(marts, "LINES_A_TASK", 100)
+    i = F.col("id")
+    for n, tasks in ((250, 3), (1000, 10)):
+        lines = spark.range(n).select(
+            F.when(i % 9 != 0, i % 50).alias("order_id"), (i % 3).alias("seller_id"), i.cast("double").alias("value"),
+            F.lit(2024).cast("bigint").alias("year"), (i % 2 + 1).alias("month"))
+        buyer = spark.range(50).select(i.alias("order_id"), (i % 5).alias("customer_id"), F.lit("mail").alias("channel"))
+        branch = spark.range(2).select(i.alias("seller_id"), F.lit("north").alias("branch"))
+        for mart in (marts.customer_sales(lines, buyer), marts.customer_category(lines, buyer),
+                     marts.referral_revenue(lines, buyer), marts.branch_sales(lines, branch)):
+            dealt = re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, (\d+)\), REPARTITION", plan_of(mart))
+            assert dealt and set(dealt) == {str(tasks)}
