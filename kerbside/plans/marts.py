@@ -57,7 +57,7 @@ def _tasks(sale_lines: DataFrame) -> int:
     Left to adaptive execution, narrow lines are coalesced to one task a core, whose hash tables and sorts then grow
     with the input.
     """
-    return max(1, -(-sale_lines.count() // LINES_A_TASK))
+    return max(2, -(-sale_lines.count() // LINES_A_TASK))
 
 
 def _by_order(sale_lines: DataFrame, tasks: int) -> DataFrame:
