@@ -22,7 +22,11 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str],
     keys: of a key that the base holds more than once and that is not updated,
     all rows stay.
     """
-    newest = keep_first(updates, keys, newest_first)
+    return replaced(base, keep_first(updates, keys, newest_first), keys)
+
+
+def replaced(base: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same for updates that have one row per key already: nothing is ranked."""
     changed = newest.select(*keys)
     kept = base.join(changed, _same_key(base, changed, keys), "left_anti")
     return kept.unionByName(newest.select(*base.columns))

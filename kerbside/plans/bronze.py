@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.operators.keep_first import keep_first
@@ -76,14 +76,38 @@ def candidates(name: str, prepared: DataFrame) -> DataFrame:
     return renamed.where(spec.where).select(*spec.columns, *LINEAGE_COLUMNS, *order_columns(prepared))
 
 
-def extract(name: str, prepared: DataFrame) -> DataFrame:
+def _booking_key() -> Column:
+    return F.xxhash64("booking_id", "extraction_month")
+
+
+def repeated_bookings(prepared: DataFrame) -> DataFrame:
+    """(booking_key): hashes of the booking id and month that more than one row has, as all rows without an id.
+
+    Every key of a Bronze table has both in it, so a row whose hash is not here is the only one of its key.  Equal
+    hashes of different bookings do no harm: their rows are compared.
+    """
+    return prepared.groupBy(_booking_key().alias("booking_key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("booking_key")
+
+
+def extract(name: str, prepared: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """One Bronze table: rows taken, first row per key kept, typed.
 
     Rows the source does not put in order are ordered by their own values, so
-    the survivor never depends on the run.
+    the survivor never depends on the run.  With the stored ``repeated_bookings``
+    only rows of these are shuffled and ranked; all others stay where they are.
     """
     spec = EXTRACTS[name]
     rows = candidates(name, prepared)
-    kept = keep_first(rows, spec.key_columns, [*order_columns(prepared), *spec.columns, *LINEAGE_COLUMNS])
+
+    def first(some: DataFrame) -> DataFrame:
+        return keep_first(some, spec.key_columns, [*order_columns(prepared), *spec.columns, *LINEAGE_COLUMNS])
+
+    if repeated is None:
+        kept = first(rows)
+    else:
+        same = _booking_key() == F.col("booking_key")
+        # The few that were ranked are dealt by month again, for the writer.
+        kept = rows.join(repeated, same, "left_anti").unionByName(
+            first(rows.join(repeated, same, "left_semi")).hint("rebalance", "extraction_month"))
     zeros = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in spec.zero_filled}
     return kept.withColumns(zeros).select(*schema_of("bronze", name).fieldNames())

@@ -16,7 +16,7 @@ from kerbside.functions.calendar import in_month, month_key
 from kerbside.operators.settle import settled
 from kerbside.operators.stable_id import new_ids
 from kerbside.plans import gold, partials, silver
-from kerbside.plans.bronze import EXTRACTS, extract
+from kerbside.plans.bronze import EXTRACTS, extract, repeated_bookings
 from kerbside.sources.files import child_names, delete_tree, matches
 from kerbside.sources.ride_csv import BAD_RECORD, DATE_TEXT, SOURCE_PATH, read_raw, rejected, stamp, tidy
 from kerbside.sources.warehouse import StagedMonths, Warehouse, audit, together
@@ -41,7 +41,7 @@ def bronze_load(warehouse: Warehouse, prepared: DataFrame, *, month: str | None
     one takes the place of stored rows.
     """
     def write(name: str) -> int:
-        rows = extract(name, prepared)
+        rows = extract(name, prepared, repeated)
         if mode == "append":
             warehouse.create("bronze", name)
             return warehouse.append(rows, "bronze", name)
@@ -52,23 +52,24 @@ def bronze_load(warehouse: Warehouse, prepared: DataFrame, *, month: str | None
     # Calendar months: a short list, read from one column.
     months = [month] if month is not None else [
         r[0] for r in prepared.select("extraction_month").distinct().collect() if r[0] is not None]
-    if mode != "replace":
-        return together(warehouse.spark, {f"bronze.{name}": partial(write, name) for name in EXTRACTS})
     staged: dict[str, StagedMonths] = {}
 
     def stage(name: str) -> int:
-        staged[name] = warehouse.stage_months(extract(name, prepared), name)
+        staged[name] = warehouse.stage_months(extract(name, prepared, repeated), name)
         return staged[name].rows
 
-    try:
-        counts = together(warehouse.spark, {f"bronze.{name}": partial(stage, name) for name in EXTRACTS})
-    except Exception:
+    with settled(repeated_bookings(prepared), "repeated") as repeated:
+        if mode != "replace":
+            return together(warehouse.spark, {f"bronze.{name}": partial(write, name) for name in EXTRACTS})
+        try:
+            counts = together(warehouse.spark, {f"bronze.{name}": partial(stage, name) for name in EXTRACTS})
+        except Exception:
+            for rows in staged.values():
+                rows.discard()
+            raise
         for rows in staged.values():
-            rows.discard()
-        raise
-    for rows in staged.values():
-        rows.put(months)
-    return counts
+            rows.put(months)
+        return counts
 
 
 def silver_refresh(warehouse: Warehouse, *, run_ts: datetime | None = None,

@@ -149,7 +149,7 @@ def table_listing(layers: StarWarehouse) -> DataFrame:
 # ---- Bronze, Silver, Gold ----
 
 def bronze_table(name: str) -> Query:
-    return on_layers(lambda layers: bronze.extract(name, layers.prepared()))
+    return on_layers(lambda layers: layers.extract(name))
 
 
 def silver_dimension(name: str) -> Query:

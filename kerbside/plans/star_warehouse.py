@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.operators.settle import settle
 from kerbside.plans import gold, partials, silver
-from kerbside.plans.bronze import extract
+from kerbside.plans.bronze import extract, repeated_bookings
 from kerbside.schemas import TABLES
 from kerbside.sources.files import scratch_path, version_of
 from kerbside.sources.ride_csv import stamp
@@ -33,17 +33,24 @@ class StarWarehouse:
         self.store = Warehouse(spark, scratch_path(spark, "star"))
         self._built: set[tuple[str, str]] = set()
         self._prepared: DataFrame | None = None
+        self._repeated: DataFrame | None = None
 
     def prepared(self) -> DataFrame:
-        """The booking rows, each stamped with the month of its date."""
+        """The booking rows, each stamped with the month of its date and stored by it."""
         if self._prepared is None:
-            self._prepared = settle(stamp(ride_source(self.spark, self.sf_dir), None), "prepared")
+            self._prepared = settle(stamp(ride_source(self.spark, self.sf_dir, by_month=True), None), "prepared")
         return self._prepared
 
+    def extract(self, table: str) -> DataFrame:
+        """One Bronze table of the booking rows, by month as they are; which bookings repeat is found out once."""
+        if self._repeated is None:
+            self._repeated = settle(repeated_bookings(self.prepared()), "repeated")
+        return extract(table, self.prepared(), self._repeated)
+
     def _build(self, layer: str, table: str) -> None:
         if layer == "bronze":
             months = [r[0] for r in self.prepared().select("extraction_month").distinct().collect()]  # calendar months
-            self.store.replace_months(extract(table, self.prepared()), table, months)
+            self.store.replace_months(self.extract(table), table, months, dealt=True)
             return
         if layer == "gold":
             rows = self._gold(table)

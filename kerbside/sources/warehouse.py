@@ -23,13 +23,14 @@ from pyspark.sql import types as T
 
 from kerbside.operators.keep_first import keep_first
 from kerbside.operators.settle import settled
-from kerbside.operators.upsert import insert_new, upsert
+from kerbside.operators.upsert import insert_new, replaced, upsert
 from kerbside.schemas import AUDIT_COLUMNS, all_tables, schema_of
 from kerbside.sources.files import child_names, delete_tree, move, path_exists
 
 MONTH = "extraction_month"
 PUSHED_KEYS = 10  # as many as the scan compares one by one with a row group's filters
 BY_MONTH = ("bronze", "partials")  # layers in folders by month
+OPEN_MONTHS = 32  # files that a task writes side by side; what has more months is sorted
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -135,15 +136,18 @@ class Warehouse:
             self._swap(new, self.path(layer, table))
         return written
 
-    def stage_months(self, df: DataFrame, table: str, layer: str = "bronze") -> StagedMonths:
-        """Write the rows of some months of a table beside it, by month; nothing is replaced yet."""
+    def stage_months(self, df: DataFrame, table: str, layer: str = "bronze", *, dealt: bool = False) -> StagedMonths:
+        """Write the rows of some months of a table beside it, by month; nothing is replaced yet.
+
+        ``dealt`` says that the rows lie by month already, so that a task has few of them.
+        """
         path = self._aside(layer, table)
-        rows = self._store(conform(df, schema_of(layer, table)), path, "errorifexists", by_month=True)
+        rows = self._store(conform(df, schema_of(layer, table)), path, "errorifexists", by_month=True, dealt=dealt)
         return StagedMonths(self, table, path, rows, layer)
 
-    def replace_months(self, df: DataFrame, table: str, months: Sequence[str]) -> int:
+    def replace_months(self, df: DataFrame, table: str, months: Sequence[str], *, dealt: bool = False) -> int:
         """Replace the given months of a Bronze table, also those without a row in ``df``."""
-        staged = self.stage_months(df.where(F.col(MONTH).isin(list(months))), table)
+        staged = self.stage_months(df.where(F.col(MONTH).isin(list(months))), table, dealt=dealt)
         staged.put(months)
         return staged.rows
 
@@ -164,7 +168,7 @@ class Warehouse:
         with settled(keep_first(rows, keys, newest_first), "updates") as newest:
             months = self.touched_months(newest, layer, table, keys)
             kept = self.read(layer, table, where=F.col(MONTH).isin(months))
-            staged = self.stage_months(upsert(kept, newest, keys, newest_first), table, layer)
+            staged = self.stage_months(replaced(kept, newest, keys), table, layer)
             staged.put(months)
             return staged.rows
 
@@ -208,14 +212,17 @@ class Warehouse:
         """Bronze rows loaded up to a month; Silver and Gold built on them show that state."""
         return self.read("bronze", table, where=F.col(MONTH) <= month)
 
-    def _store(self, df: DataFrame, path: str, mode: str, *, by_month: bool = False) -> int:
-        """By month, rows are rebalanced first: small months share a file writer, and a month too large for one is
-        split by adaptive execution.  Otherwise every task would write a file per month."""
+    def _store(self, df: DataFrame, path: str, mode: str, *, by_month: bool = False, dealt: bool = False) -> int:
+        """By month, rows are rebalanced first unless ``dealt`` by it: small months share a file writer, and a month too
+        large for one is split by adaptive execution.  Otherwise every task would write a file per month."""
         seen = Observation()
-        rows = df.hint("rebalance", MONTH) if by_month else df
+        rows = df.hint("rebalance", MONTH) if by_month and not dealt else df
         writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
         for column in set(self.key_filters) & set(df.columns):
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        if dealt:
+            # A task keeps a file open for each of its months, instead of sorting what a whole scan task has by month.
+            self.spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_MONTHS)
         (writer.partitionBy(MONTH) if by_month else writer).parquet(path)
         return seen.get["rows"]
 

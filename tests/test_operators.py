@@ -1,11 +1,12 @@
 """Operators against brute force on small frames, with hot keys and nulls."""
 
 import random
+import re
 import statistics
 from datetime import date
 
 import numpy as np
-from conftest import plan_of, rows_of
+from conftest import SF_DIR, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from kerbside.functions.money import money_avg, money_sum
@@ -15,10 +16,16 @@ from kerbside.operators.keep_first import keep_first
 from kerbside.operators.lookup import lookup
 from kerbside.operators.profile import column_profile, describe, table_size
 from kerbside.operators.quantiles import exact_quantiles
+from kerbside.operators.settle import settle
 from kerbside.operators.spread import spread
-from kerbside.operators.upsert import insert_new, upsert
+from kerbside.operators.upsert import insert_new, replaced, upsert
+from kerbside.plans import bronze
+from kerbside.schemas import SOURCE_COLUMNS
 from kerbside.session import shared_folder
 from kerbside.sources.files import child_names
+from kerbside.sources.ride_csv import ORDER_PREFIX, stamp
+from kerbside.sources.ride_star import ride_source
+from kerbside.sources.warehouse import Warehouse
 
 
 def hot_rows(n=600, seed=1):
@@ -169,3 +176,55 @@ def test_small_amounts_count(spark):
 def test_described_values_leave_nothing_behind(spark):
     describe(spark.range(100)).collect()
     assert [n for n in child_names(spark, f"{shared_folder(spark)}/kerbside") if n.startswith("quantiles")] == []
+
+
+def booking_rows(spark, n):
+    """Rows as prepared for Bronze: bookings that repeat in a month or in others, that have no id, and odd ones out."""
+    i = F.col("id")
+    text = F.concat(F.lit("t"), (i % 5).cast("string"))
+    values = {"date": F.date_add(F.lit("2024-01-01").cast("date"), (i % 40).cast("int")),
+              "booking_id": F.when(i % 11 != 0, F.concat(F.lit("b"), F.least(i, F.lit(60)).cast("string"))),
+              "booking_status": F.element_at(F.array(F.lit("Completed"), F.lit("Incomplete"), F.lit(None)), (i % 3 + 1).cast("int"))}
+    rows = spark.range(n).select(
+        i, *[values.get(name, F.when(i % 7 != 0, text if kind == "string" else (i % 4).cast(kind))).alias(name)
+             for _, name, kind in SOURCE_COLUMNS], F.lit("file").alias("source_file"), i.alias(f"{ORDER_PREFIX}0"))
+    return stamp(rows.drop("id"), None)
+
+
+def test_extracts_rank_repeated_bookings_only(spark):
+    rows = settle(booking_rows(spark, 200), "rows")
+    repeated = settle(bronze.repeated_bookings(rows), "repeated")
+    for name in bronze.EXTRACTS:
+        some = bronze.extract(name, rows, repeated)
+        assert rows_of(some) == rows_of(bronze.extract(name, rows)), name
+        # All but the join's small side stay where they are, up to the repeated ones, which alone are ranked.
+        plan = plan_of(some)
+        assert plan.count("LeftAnti") == 1 and plan.index("LeftAnti") < plan.index("LeftSemi"), name
+        assert not re.search("Exchange hash|Window|Sort", plan[:plan.index("LeftAnti")].split("+- Union")[-1]), name
+    assert bronze.repeated_bookings(rows.limit(0)).count() == 0
+
+
+def test_rows_dealt_by_month_are_stored_without_a_shuffle(spark, folder):
+    rows = settle(booking_rows(spark, 200), "rows")
+    months = [r[0] for r in rows.select("extraction_month").distinct().collect()]
+    stored = {}
+    for dealt in (False, True):
+        store = Warehouse(spark, f"{folder}/{dealt}")
+        assert store.replace_months(bronze.extract("booking", rows), "booking", months, dealt=dealt) == len(stored.setdefault(
+            dealt, rows_of(store.read("bronze", "booking"))))
+    assert stored[True] == stored[False] and stored[True]
+
+
+def test_sales_lines_by_month_are_the_same_rows(spark):
+    plain, dealt = (ride_source(spark, SF_DIR, by_month=by_month) for by_month in (False, True))
+    assert "REBALANCE" in plan_of(dealt) and "REBALANCE" not in plan_of(plain)
+    assert dealt.columns == plain.columns and dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+
+
+def test_ranked_updates_are_not_ranked_again(spark):
+    base = spark.createDataFrame(hot_rows(), "k string, o int, v int")
+    updates = spark.createDataFrame([("hot", 1, -1), ("new", 2, -2), ("hot", 3, -3), (None, 4, -4)], "k string, o int, v int")
+    newest = settle(keep_first(updates, ["k"], [F.desc("o")]), "newest")
+    merged = replaced(base, newest, ["k"])
+    assert "Window" not in plan_of(merged)
+    assert rows_of(merged) == rows_of(upsert(base, updates, ["k"], [F.desc("o")]))
