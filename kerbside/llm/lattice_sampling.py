@@ -16,7 +16,7 @@ from __future__ import annotations
 import copy
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from sentencepiece import SentencePieceProcessor
 
 BLANK = "▁"
@@ -48,15 +49,34 @@ def _uniform(seed: np.ndarray, sample: int, place, step: int) -> np.ndarray:
     return ((_mix(seed + counter) >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52
 
 
-class Vocabulary:
+class Surfaces:
+    """What the pieces of a model stand for: all that decoding needs."""
+
+    def __init__(self, sp: SentencePieceProcessor):
+        self.size = sp.get_piece_size()
+        self.byte_ids = {bytes([b]): sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
+        self.plain = [i for i in range(self.size) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i))]
+        self.pieces = [sp.id_to_piece(i) for i in self.plain]
+        self.surface = [b""] * self.size
+        for i, piece in zip(self.plain, self.pieces, strict=True):
+            self.surface[i] = piece.encode()
+        for byte, i in self.byte_ids.items():
+            self.surface[i] = byte
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """UTF-8 of the text that the ids spell."""
+        spelt = b"".join(map(self.surface.__getitem__, ids.tolist())).replace(BLANK.encode(), b" ")
+        return spelt[1:] if spelt[:1] == b" " else spelt
+
+
+class Vocabulary(Surfaces):
     """Pieces with log-weights: a unigram model's own scores, or Zipf's law over the ranks of a BPE model, whose
     scores are merge ranks and no probabilities.  A character without a piece is spelt in byte pieces."""
 
     def __init__(self, proto: bytes, temperature: float = 1.0):
         sp = SentencePieceProcessor(model_proto=proto)
-        size = sp.get_piece_size()
-        plain = [i for i in range(size) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i))]
-        pieces = [sp.id_to_piece(i) for i in plain]
+        super().__init__(sp)
+        plain, pieces = self.plain, self.pieces
         if any("\n" in p or BLANK in p.lstrip(BLANK) for p in pieces):
             raise ValueError("pieces that go on after a blank or hold a newline are not supported")
         scores = np.array([sp.get_score(i) for i in plain])
@@ -65,12 +85,6 @@ class Vocabulary:
         weights = -np.log(np.arange(len(plain)) + 2.0) if by_rank else scores
         weights = (weights - np.logaddexp.reduce(weights)) / temperature
         self.byte_weight = float(weights.min()) - 1.0
-        self.byte_ids = {bytes([b]): sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
-        self.surface = [b""] * size
-        for i, piece in zip(plain, pieces, strict=True):
-            self.surface[i] = piece.encode()
-        for byte, i in self.byte_ids.items():
-            self.surface[i] = byte
         self.longest = max(map(len, pieces))
         self.by_length: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         # By the upper bits of a run's hash: may a piece of this length be it, and may a longer one begin with it.
@@ -86,7 +100,6 @@ class Vocabulary:
             if len(np.unique(hashes)) != len(hashes):
                 raise ValueError("two pieces have the same hash")
             self.by_length.append((hashes[order], np.array(plain, np.int32)[here][order], weights[here][order]))
-        self.size = size
 
     def spelt(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes that the ids stand for, one after another, and how many each has."""
@@ -97,12 +110,6 @@ class Vocabulary:
         n = self._lengths[ids]
         return self._bytes[np.repeat(self._starts[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """UTF-8 of the text that the ids spell."""
-        spelt = b"".join(map(self.surface.__getitem__, ids.tolist())).replace(BLANK.encode(), b" ")
-        return spelt[1:] if spelt[:1] == b" " else spelt
-
-
 def _running_hashes(codes: np.ndarray) -> list[np.ndarray]:
     """Of the first one, two, .. columns."""
     hashes = [np.zeros(len(codes), np.uint64)]
@@ -456,6 +463,17 @@ def _vocabulary(proto, temperature: float) -> Vocabulary:
     return _VOCABULARIES[key]
 
 
+_SURFACES: dict[str, Surfaces] = {}  # the same, for decoding alone
+
+
+def _surfaces(proto) -> Surfaces:
+    key = hashlib.sha256(proto.value).hexdigest()
+    if key not in _SURFACES:
+        _SURFACES.clear()
+        _SURFACES[key] = Surfaces(SentencePieceProcessor(model_proto=proto.value))
+    return _SURFACES[key]
+
+
 def _sample(proto, k: int, temperature: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = KnownUnits(_vocabulary(proto, temperature))
@@ -513,20 +531,22 @@ def sampled_segmentations(docs: DataFrame, model_file: str, k: int = 2, seed: in
     return own.mapInArrow(_sample(proto, k, temperature), _SCHEMA)
 
 
-def _decode(proto):
+def _decode(proto, keep: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(proto, 1.0)
+        surfaces = _surfaces(proto)
         for batch in batches:
-            texts = [None if i is None else vocabulary.decode(np.frombuffer(i, "<i4")).decode("utf-8", "replace")
+            texts = [None if i is None else surfaces.decode(np.frombuffer(i, "<i4")).decode("utf-8", "replace")
                      for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("sample"), pa.array(texts, pa.string())],
-                                             names=["doc_id", "sample", "text"])
+            names = ["doc_id", "sample", *keep]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(texts, pa.string())], names=[*names, "text"])
 
     return run
 
 
-def decoded(rows: DataFrame, model_file: str) -> DataFrame:
-    """doc_id, sample and the text that the ids spell (null ids: null; bytes that are no UTF-8 are replaced)."""
+def decoded(rows: DataFrame, model_file: str, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, sample, the columns to ``keep`` and the text that the ids spell (null ids: null; bytes that are no UTF-8
+    are replaced)."""
     with open(model_file, "rb") as source:
         proto = rows.sparkSession.sparkContext.broadcast(source.read())
-    return rows.select("doc_id", "sample", "ids").mapInArrow(_decode(proto), "doc_id long, sample int, text string")
+    own = rows.select("doc_id", "sample", *keep, "ids")
+    return own.mapInArrow(_decode(proto, keep), T.StructType([*own.schema.fields[:-1], T.StructField("text", T.StringType())]))

@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from kerbside.llm import lattice_sampling as ls
+from kerbside.llm import queries
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 with open(MODEL, "rb") as source:
@@ -97,3 +99,14 @@ def test_odd_rows(spark):
     again = ls.sampled_segmentations(df.repartition(5), MODEL, k=2)
     stable = [F.col("doc_id"), F.col("sample"), F.crc32("ids"), F.round("key", 6)]
     assert sorted(map(tuple, rows.select(stable).collect()), key=str) == sorted(map(tuple, again.select(stable).collect()), key=str)
+
+
+def test_query_decodes_what_it_sampled(spark, folder):
+    docs = [(1, "some words"), (2, ""), (3, None), (4, "日本\nx"), (None, "no id"), (4, "same id")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    rows = queries.op4_sentencepiece(spark, folder).collect()
+    crc = {(i, zlib.crc32((t or "").encode())) for i, t in docs}
+    assert {(r.doc_id, r.text_crc32) for r in rows} == crc and all(r.round_trip for r in rows)
+    kept = ls.decoded(ls.sampled_segmentations(spark.createDataFrame(docs, "doc_id long, text string"), MODEL), MODEL, keep=["key"])
+    assert kept.columns == ["doc_id", "sample", "key", "text"]
+    assert {(r.doc_id, r.key) for r in kept.collect()} == {(r.doc_id, r.key) for r in rows}
