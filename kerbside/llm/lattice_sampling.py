@@ -474,7 +474,7 @@ def _surfaces(proto) -> Surfaces:
     return _SURFACES[key]
 
 
-def _sample(proto, k: int, temperature: float):
+def _sample(proto, k: int, temperature: float, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = KnownUnits(_vocabulary(proto, temperature))
         for batch in batches:
@@ -483,13 +483,13 @@ def _sample(proto, k: int, temperature: float):
             while start < batch.num_rows:
                 base = ends[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(ends, base + _BATCH_CHARS, side="right")))
-                yield _rows(known, batch.slice(start, stop - start), k)
+                yield _rows(known, batch.slice(start, stop - start), k, texts)
                 start = stop
 
     return run
 
 
-def _rows(known: KnownUnits, batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
+def _rows(known: KnownUnits, batch: pa.RecordBatch, k: int, decode: bool) -> pa.RecordBatch:
     vocabulary, texts = known.vocabulary, batch.column("text").to_pylist()
     seeds = batch.column("seed").to_numpy().view(np.uint64)
     samples = sample_batch(vocabulary, texts, seeds, k, known)
@@ -509,26 +509,32 @@ def _rows(known: KnownUnits, batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
     offsets = np.r_[0, np.cumsum(n_pieces)].astype(np.int32) * 4
     payload = pa.Array.from_buffers(pa.binary(), len(flat), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids))])
     doc_ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(texts)), counts)))
-    return pa.RecordBatch.from_arrays(
+    rows = pa.RecordBatch.from_arrays(
         [doc_ids, pa.array(sample, pa.int32()), payload, pa.array(n_pieces, pa.int32()), pa.array(log_prob), pa.array(key),
          pa.array(inclusion), pa.array(same, pa.bool_())],
         names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "key", "inclusion", "round_trip"])
+    if not decode:
+        return rows
+    ends = np.cumsum(n_pieces)
+    return rows.append_column("text", pa.array(
+        [vocabulary.decode(ids[lo:hi]).decode("utf-8", "replace") for lo, hi in zip(ends - n_pieces, ends, strict=True)], pa.string()))
 
 
 def sampled_segmentations(docs: DataFrame, model_file: str, k: int = 2, seed: int = 0, temperature: float = 1.0,
-                          text: str = "text", key: str = "doc_id") -> DataFrame:
+                          text: str = "text", key: str = "doc_id", decode: bool = False) -> DataFrame:
     """Up to ``k`` distinct segmentations of every row's whole text, a row each, by falling perturbed log-probability.
 
     ids are little-endian 32-bit piece ids; log_prob is the segmentation's log-probability among all of the text,
     inclusion the probability of being among the k given the next key; round_trip says that the ids decode to the
     text (U+2581 reads as a blank).  A null or empty text has one empty segmentation.  Rows with the same key and
-    text get the same samples; null keys share a seed.
+    text get the same samples; null keys share a seed.  With ``decode``, text is what the ids decode to, as by ``decoded``,
+    in the same worker.
     """
     with open(model_file, "rb") as source:
         proto = docs.sparkSession.sparkContext.broadcast(source.read())  # the vocabulary file
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(key).cast("string"), F.lit(seed)).alias("seed"),
                       F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return own.mapInArrow(_sample(proto, k, temperature), _SCHEMA)
+    return own.mapInArrow(_sample(proto, k, temperature, decode), _SCHEMA + (", text string" if decode else ""))
 
 
 def _decode(proto, keep: Sequence[str]):
