@@ -21,10 +21,10 @@ from kerbside.operators.spread import spread
 from kerbside.operators.upsert import insert_new, replaced, upsert
 from kerbside.plans import bronze
 from kerbside.schemas import SOURCE_COLUMNS
-from kerbside.session import shared_folder
+from kerbside.session import METHOD_CONF, shared_folder
 from kerbside.sources.files import child_names
 from kerbside.sources.ride_csv import ORDER_PREFIX, stamp
-from kerbside.sources.ride_star import ride_source
+from kerbside.sources.ride_star import raw_rides, ride_source
 from kerbside.sources.warehouse import Warehouse
 
 
@@ -221,6 +221,16 @@ def test_sales_lines_by_month_are_the_same_rows(spark):
     assert dealt.columns == plain.columns and dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
 
 
+def test_long_generated_methods_are_left_to_the_jit_in_pieces(spark):
+    spark.conf.unset(METHOD_CONF)
+    raw_rides(spark, SF_DIR)
+    assert int(spark.conf.get(METHOD_CONF)) <= 8000
+    spark.conf.set(METHOD_CONF, 4000)
+    raw_rides(spark, SF_DIR)
+    assert spark.conf.get(METHOD_CONF) == "4000"
+    spark.conf.unset(METHOD_CONF)
+
+
 def test_ranked_updates_are_not_ranked_again(spark):
     base = spark.createDataFrame(hot_rows(), "k string, o int, v int")
     updates = spark.createDataFrame([("hot", 1, -1), ("new", 2, -2), ("hot", 3, -3), (None, 4, -4)], "k string, o int, v int")
