@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.chunked_encoder import ChunkedEncoder
+from kerbside.llm.chunked_encoder import worker_encoder
 from kerbside.llm.scratch import stored
 from kerbside.sources.files import path_exists
 
@@ -29,7 +29,7 @@ def content_digest(text: Column) -> Column:
 
 def _encode(tokenizer):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkedEncoder(tokenizer.value)
+        encoder = worker_encoder(tokenizer.value)
         for batch in batches:
             for start in range(0, batch.num_rows, _BATCH):
                 part = batch.slice(start, _BATCH)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.llm.chunked_encoder import ChunkedEncoder
+from kerbside.llm.chunked_encoder import worker_encoder
 
 MAGIC = 0x4B544F4B
 TRAILER = "<QQII"
@@ -123,7 +123,7 @@ def _write_shard(folder: str, tokenizer, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         name = f"{shard:06d}-{uuid4().hex}.ids"
-        encoder, offset, n_docs, sink = ChunkedEncoder(tokenizer.value), 0, 0, None
+        encoder, offset, n_docs, sink = worker_encoder(tokenizer.value), 0, 0, None
         end = b"" if end_id is None else end_id.to_bytes(encoder.width, "little")
         for batch in batches:
             for start in range(0, batch.num_rows, _BATCH):

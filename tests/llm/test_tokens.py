@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from kerbside.llm import token_counts, token_shards
+from kerbside.llm import chunked_encoder, token_counts, token_shards
 from kerbside.llm.chunked_encoder import ChunkedEncoder
 
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -103,3 +103,13 @@ def test_perfect_hash(n):
 def test_equal_hashes_are_refused():
     with pytest.raises(ValueError):
         token_shards.PerfectHash.build(np.array([1, 1], np.uint64), np.array([2, 2], np.uint64))
+
+
+def test_a_worker_keeps_one_encoder_and_the_chunks_that_come_again():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as source:
+        model = source.read()
+    assert chunked_encoder.worker_encoder(model) is chunked_encoder.worker_encoder(model)
+    encoder = ChunkedEncoder(model, keep=8)
+    for texts in (["a often one two"], ["b often three four"], ["c often five six seven eight"]):
+        assert encoder.payloads(texts) == ChunkedEncoder(model).payloads(texts)
+    assert "often" in encoder.ids and "seven" not in encoder.ids and len(encoder.ids) <= 8
