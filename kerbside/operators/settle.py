@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 from kerbside.sources.files import delete_tree, scratch_path
 
+STORED_AS = {"compression": "zstd"}  # what is written once and read often: a third smaller than with the default codec
+
 
 def _write(df: DataFrame, label: str) -> tuple[str, DataFrame]:
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**STORED_AS).parquet(path)
     return path, df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbside.operators.keep_first import keep_first
 from kerbside.schemas import LINEAGE_COLUMNS, schema_of
-from kerbside.sources.ride_csv import order_columns
+from kerbside.sources.ride_csv import REPEATED, order_columns
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,7 @@ def _pickups_and_drops(prepared: DataFrame) -> DataFrame:
     ends = F.array(
         F.struct(F.col("pickup_location").alias("location_name"), F.lit("pickup").alias("location_type")),
         F.struct(F.col("drop_location").alias("location_name"), F.lit("drop").alias("location_type")))
-    return prepared.select("booking_id", *LINEAGE_COLUMNS, *order_columns(prepared), F.inline(ends))
+    return prepared.select("booking_id", *LINEAGE_COLUMNS, *order_columns(prepared), *_mark(prepared), F.inline(ends))
 
 
 def candidates(name: str, prepared: DataFrame) -> DataFrame:
@@ -73,7 +73,11 @@ def candidates(name: str, prepared: DataFrame) -> DataFrame:
     spec = EXTRACTS[name]
     rows = _pickups_and_drops(prepared) if name == "location" else prepared
     renamed = rows.withColumns({new: F.col(old) for new, old in spec.columns.items() if new != old})
-    return renamed.where(spec.where).select(*spec.columns, *LINEAGE_COLUMNS, *order_columns(prepared))
+    return renamed.where(spec.where).select(*spec.columns, *LINEAGE_COLUMNS, *order_columns(prepared), *_mark(prepared))
+
+
+def _mark(prepared: DataFrame) -> list[str]:
+    return [REPEATED] if REPEATED in prepared.columns else []
 
 
 def _booking_key() -> Column:
@@ -89,12 +93,13 @@ def repeated_bookings(prepared: DataFrame) -> DataFrame:
     return prepared.groupBy(_booking_key().alias("booking_key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("booking_key")
 
 
-def extract(name: str, prepared: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def extract(name: str, prepared: DataFrame, repeated: DataFrame | Column | None = None) -> DataFrame:
     """One Bronze table: rows taken, first row per key kept, typed.
 
     Rows the source does not put in order are ordered by their own values, so
-    the survivor never depends on the run.  With the stored ``repeated_bookings``
-    only rows of these are shuffled and ranked; all others stay where they are.
+    the survivor never depends on the run.  With the stored ``repeated_bookings``,
+    or a column that marks their rows, only these are shuffled and ranked; all
+    others stay where they are.
     """
     spec = EXTRACTS[name]
     rows = candidates(name, prepared)
@@ -105,9 +110,12 @@ def extract(name: str, prepared: DataFrame, repeated: DataFrame | None = None) -
     if repeated is None:
         kept = first(rows)
     else:
-        same = _booking_key() == F.col("booking_key")
+        if isinstance(repeated, Column):
+            alone, some = rows.where(~repeated), rows.where(repeated)
+        else:
+            same = _booking_key() == F.col("booking_key")
+            alone, some = (rows.join(repeated, same, how) for how in ("left_anti", "left_semi"))
         # The few that were ranked are dealt by month again, for the writer.
-        kept = rows.join(repeated, same, "left_anti").unionByName(
-            first(rows.join(repeated, same, "left_semi")).hint("rebalance", "extraction_month"))
+        kept = alone.unionByName(first(some).hint("rebalance", "extraction_month"))
     zeros = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in spec.zero_filled}
     return kept.withColumns(zeros).select(*schema_of("bronze", name).fieldNames())

@@ -13,19 +13,33 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.money import avg_of_parts, merged_parts, money_parts, sum_of_parts
 from kerbside.functions.nulls import all_present
+from kerbside.operators.spread import SLICE, deal
 from kerbside.schemas import PARTIALS
 from kerbside.sources.warehouse import MONTH, StagedMonths, Warehouse
 
 LAYER = "partials"
 
 
+def _by_month(bookings: DataFrame) -> DataFrame:
+    """Bookings dealt by month, a large month over several tasks by customer, as the writer wants the totals.
+
+    Nearly every booking of a month has a customer of its own, so totals by customer and month are no fewer and
+    wider than the bookings: these travel once, and are added up where they lie.
+    """
+    rows = [n for _, n in bookings.groupBy(MONTH).agg(F.count(F.lit(1))).collect()]  # a number per calendar month
+    return deal(bookings, MONTH, F.col("customer_id"), rows)
+
+
 def partial(name: str, bookings: DataFrame) -> DataFrame:
     """Totals of Bronze bookings by month and key; rows without a key have no part in what is built from them."""
     amounts = money_parts(F.col("booking_value"))
     if name == "customer":
-        return bookings.where(all_present("customer_id")).groupBy("customer_id", MONTH).agg(
+        known = bookings.select("customer_id", "booking_id", "date", "booking_value", MONTH).where(all_present("customer_id"))
+        # A number tells as much of the booking as its id, which only counts.
+        dealt = _by_month(known.withColumn("booking_id", F.when(F.col("booking_id").isNotNull(), F.lit(1))))
+        return dealt.groupBy("customer_id", MONTH, SLICE).agg(
             F.count("booking_id").alias("n_bookings"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-            *_named(amounts))
+            *_named(amounts)).drop(SLICE)
     if name == "daily":
         keys = ["date", "vehicle_type", "booking_status"]
         return bookings.where(all_present(*keys)).groupBy(*keys, MONTH).agg(F.count("booking_id").alias("n_bookings"), *_named(amounts))
@@ -53,7 +67,7 @@ def refresh(warehouse: Warehouse, months: Sequence[str]) -> list[str]:
     bookings = warehouse.read("bronze", "booking", where=F.col(MONTH).isin(renewed))
     staged: list[StagedMonths] = []
     try:
-        staged += [warehouse.stage_months(partial(name, bookings), name, LAYER) for name in PARTIALS]
+        staged += [warehouse.stage_months(partial(name, bookings), name, LAYER, dealt=name == "customer") for name in PARTIALS]
     except Exception:
         for rows in staged:
             rows.discard()

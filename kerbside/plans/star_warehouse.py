@@ -11,13 +11,15 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbside.operators.settle import settle
 from kerbside.plans import gold, partials, silver
-from kerbside.plans.bronze import extract, repeated_bookings
+from kerbside.plans.bronze import extract
 from kerbside.schemas import TABLES
+from kerbside.session import compile_in_pieces
 from kerbside.sources.files import scratch_path, version_of
-from kerbside.sources.ride_csv import stamp
+from kerbside.sources.ride_csv import REPEATED, stamp
 from kerbside.sources.ride_star import ride_source
 from kerbside.sources.warehouse import Warehouse, audit
 
@@ -29,23 +31,21 @@ class StarWarehouse:
     """Stored layers; every table is built from those below it when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        compile_in_pieces(spark)
         self.spark, self.sf_dir = spark, sf_dir
         self.store = Warehouse(spark, scratch_path(spark, "star"))
         self._built: set[tuple[str, str]] = set()
         self._prepared: DataFrame | None = None
-        self._repeated: DataFrame | None = None
 
     def prepared(self) -> DataFrame:
-        """The booking rows, each stamped with the month of its date and stored by it."""
+        """The booking rows, each stamped with the month of its date and stored by it; those that repeat are marked."""
         if self._prepared is None:
-            self._prepared = settle(stamp(ride_source(self.spark, self.sf_dir, by_month=True), None), "prepared")
+            self._prepared = settle(stamp(ride_source(self.spark, self.sf_dir, mark=True), None), "prepared")
         return self._prepared
 
     def extract(self, table: str) -> DataFrame:
-        """One Bronze table of the booking rows, by month as they are; which bookings repeat is found out once."""
-        if self._repeated is None:
-            self._repeated = settle(repeated_bookings(self.prepared()), "repeated")
-        return extract(table, self.prepared(), self._repeated)
+        """One Bronze table of the booking rows, by month as they are; only marked ones are ranked."""
+        return extract(table, self.prepared(), F.col(REPEATED))
 
     def _build(self, layer: str, table: str) -> None:
         if layer == "bronze":

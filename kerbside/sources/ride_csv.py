@@ -14,6 +14,7 @@ from kerbside.functions.text import clean_text, na_to_null, to_date, to_number
 from kerbside.operators.spread import spread
 from kerbside.schemas import OPTIONAL_SOURCE_COLUMNS, SOURCE_COLUMNS
 
+REPEATED = "_repeated"  # whether another row may have the booking id and month of this one
 ORDER_PREFIX = "_ord_"
 DATE_TEXT = "_date_text"
 BAD_RECORD = "_bad_record"  # text of a record with more fields than the header has, else null

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.operators.keep_first import keep_first
-from kerbside.operators.settle import settled
+from kerbside.operators.settle import STORED_AS, settled
 from kerbside.operators.upsert import insert_new, replaced, upsert
 from kerbside.schemas import AUDIT_COLUMNS, all_tables, schema_of
 from kerbside.sources.files import child_names, delete_tree, move, path_exists
@@ -217,7 +217,7 @@ class Warehouse:
         large for one is split by adaptive execution.  Otherwise every task would write a file per month."""
         seen = Observation()
         rows = df.hint("rebalance", MONTH) if by_month and not dealt else df
-        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**STORED_AS)
         for column in set(self.key_filters) & set(df.columns):
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
         if dealt:

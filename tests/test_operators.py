@@ -17,13 +17,13 @@ from kerbside.operators.lookup import lookup
 from kerbside.operators.profile import column_profile, describe, table_size
 from kerbside.operators.quantiles import exact_quantiles
 from kerbside.operators.settle import settle
-from kerbside.operators.spread import spread
+from kerbside.operators.spread import SLICE, deal, spread
 from kerbside.operators.upsert import insert_new, replaced, upsert
 from kerbside.plans import bronze
 from kerbside.schemas import SOURCE_COLUMNS
 from kerbside.session import METHOD_CONF, shared_folder
 from kerbside.sources.files import child_names
-from kerbside.sources.ride_csv import ORDER_PREFIX, stamp
+from kerbside.sources.ride_csv import ORDER_PREFIX, REPEATED, stamp
 from kerbside.sources.ride_star import raw_rides, ride_source
 from kerbside.sources.warehouse import Warehouse
 
@@ -221,6 +221,40 @@ def test_sales_lines_by_month_are_the_same_rows(spark):
     assert dealt.columns == plain.columns and dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
 
 
+def test_marked_bookings_are_those_that_repeat(spark, folder):
+    """Lines of one booking meet where they are dealt by month: no further shuffle, and no join with the repeated ones."""
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    i = F.col("l_orderkey")
+    odd = lines.where(i % 3 == 0).withColumn("l_shipdate", F.when(i % 5 == 0, F.add_months("l_shipdate", 1).cast("timestamp_ntz")).when(
+        i % 7 > 0, F.col("l_shipdate")))
+    lines.unionByName(odd).write.parquet(f"{folder}/lineitem.parquet")
+    for name in ("nation", "customer", "supplier", "part", "orders"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    plain = settle(stamp(ride_source(spark, folder), None), "rows")
+    source = ride_source(spark, folder, mark=True)
+    plan = plan_of(source)
+    assert plan.count("Window [count") == 1 and plan.index("Window [count") < plan.index("REPARTITION")
+    marked = settle(stamp(source, None), "marked")
+    assert marked.drop(REPEATED).exceptAll(plain).isEmpty() and plain.exceptAll(marked.drop(REPEATED)).isEmpty()
+    hashes = {r[0] for r in bronze.repeated_bookings(plain).collect()}
+    key = F.xxhash64("booking_id", "extraction_month")
+    assert {(r[0] in hashes) == r[1] for r in marked.where("booking_id is not null").select(key, REPEATED).collect()} == {True}
+    assert marked.where(f"booking_id is null and not {REPEATED}").isEmpty() and not marked.where(f"not {REPEATED}").isEmpty()
+    for name in bronze.EXTRACTS:
+        some = bronze.extract(name, marked, F.col(REPEATED))
+        assert rows_of(some) == rows_of(bronze.extract(name, plain)), name
+        assert "Join" not in plan_of(some), name
+
+
+def test_large_months_are_dealt_over_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr("kerbside.operators.spread.ROWS_A_TASK", 100)
+    rows = spark.range(1000).select((F.col("id") % 2).cast("string").alias("month"), "id")
+    dealt = deal(rows, "month", F.col("id"), [500, 500])
+    assert "hashpartitioning(month" in plan_of(dealt) and ", 10)" in plan_of(dealt)
+    assert {n for _, n in dealt.groupBy("month").agg(F.count_distinct(SLICE)).collect()} == {5}
+    assert deal(rows.limit(0), "month", F.col("id"), []).count() == 0
+
+
 def test_long_generated_methods_are_left_to_the_jit_in_pieces(spark):
     spark.conf.unset(METHOD_CONF)
     raw_rides(spark, SF_DIR)

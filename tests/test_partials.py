@@ -59,6 +59,17 @@ def test_a_renewed_month_reads_its_own_folder(spark, folder):
     assert "bronze" not in built
 
 
+def test_customers_of_a_month_travel_once(spark, folder):
+    warehouse = Warehouse(spark, f"{folder}/w")
+    jobs.load_file(warehouse, ride_file.write(folder), None)
+    rows = warehouse.read("bronze", "booking")
+    plan = plan_of(partials.partial("customer", rows))
+    assert plan.count("Exchange") == 1 and "REPARTITION" in plan
+    partials.refresh(warehouse, [])
+    assert rows_of(warehouse.read("partials", "customer")) == rows_of(
+        partials.partial("customer", rows).select(warehouse.read("partials", "customer").columns))
+
+
 def test_no_bookings(spark, folder):
     warehouse = Warehouse(spark, f"{folder}/w")
     assert partials.refresh(warehouse, ["2024-03"]) == ["2024-03"]
