@@ -19,7 +19,7 @@ from kerbside.llm.scratch import stored
 from kerbside.sources.files import path_exists
 
 _CACHE = "digest binary, n_tokens long"
-_BATCH = 256  # texts encoded together
+_BATCH = 1024  # texts encoded together
 
 
 def content_digest(text: Column) -> Column:

@@ -113,3 +113,24 @@ def test_a_worker_keeps_one_encoder_and_the_chunks_that_come_again():
     for texts in (["a often one two"], ["b often three four"], ["c often five six seven eight"]):
         assert encoder.payloads(texts) == ChunkedEncoder(model).payloads(texts)
     assert "often" in encoder.ids and "seven" not in encoder.ids and len(encoder.ids) <= 8
+
+
+def test_a_word_is_handled_once_a_batch_and_not_at_each_occurrence():
+    # Per occurrence a dictionary lookup and a string of its own took as long as the library did.
+    with open(MODEL, encoding="utf-8") as source:
+        encoder = ChunkedEncoder(source.read())
+    looked_up = []
+
+    class Counting(dict):
+        def get(self, key, default=None):
+            looked_up.append(key)
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            looked_up.append(key)
+            return super().__getitem__(key)
+
+    encoder.ids = Counting()
+    texts = ["so many words\nof few kinds " * 500, "words " * 2000, "of few\u0085 kinds\t "]
+    assert [np.frombuffer(p, f"<u{encoder.width}").tolist() for p in encoder.payloads(texts)] == [ids(t) for t in texts]
+    assert looked_up.count("words") <= 2 and len(looked_up) < 40
