@@ -32,7 +32,7 @@ _BASE = np.uint64(0x100000001B3)
 _UNITS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")
 # What a random number is for; the walks' own have 0, so samples may be up to 256.
 ROOT, ALTERNATIVE, BRANCH, REMAINDER = (i << 8 for i in range(1, 5))
-_BATCH_CHARS = 1 << 20
+_BATCH_CHARS = 1 << 19
 _SIEVE = 18  # bits
 _SCHEMA = "doc_id long, sample int, ids binary, n_pieces int, log_prob double, key double, inclusion double, round_trip boolean"
 
@@ -49,6 +49,12 @@ def _uniform(seed: np.ndarray, sample: int, place, step: int) -> np.ndarray:
     return ((_mix(seed + counter) >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52
 
 
+def surface_text(spelt: bytes) -> bytes:
+    """The text of what pieces spell: blanks as they are in texts, without the one in front."""
+    text = spelt.replace(BLANK.encode(), b" ")
+    return text[1:] if text[:1] == b" " else text
+
+
 class Surfaces:
     """What the pieces of a model stand for: all that decoding needs."""
 
@@ -65,8 +71,7 @@ class Surfaces:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the text that the ids spell."""
-        spelt = b"".join(map(self.surface.__getitem__, ids.tolist())).replace(BLANK.encode(), b" ")
-        return spelt[1:] if spelt[:1] == b" " else spelt
+        return surface_text(b"".join(map(self.surface.__getitem__, ids.tolist())))
 
 
 class Vocabulary(Surfaces):
@@ -263,7 +268,8 @@ class KnownUnits:
 
     def lattice_of(self, units: list[str]) -> tuple[Lattice, np.ndarray]:
         """A lattice that has all the units, and the number of each in it."""
-        new = dict.fromkeys(unit for unit in units if unit not in self.numbers)
+        here = dict.fromkeys(units)
+        new = [unit for unit in here if unit not in self.numbers]
         if self.kept.n_nodes < self.most:
             again = [unit for unit in new if hash(unit) in self.met]
             if again:
@@ -273,13 +279,14 @@ class KnownUnits:
             if len(self.met) > self.most:
                 self.met.clear()
             self.met.update(map(hash, new))
-        lattice, numbers = self.kept, self.numbers
+        lattice, numbers = self.kept, dict(zip(new, range(len(self.kept.first), len(self.kept.first) + len(new)), strict=True))
         if new:
             lattice = copy.copy(self.kept)
             lattice.spellings = list(self.kept.spellings)
-            lattice.append(Lattice(self.vocabulary, list(new)))
-            numbers = self.numbers | dict(zip(new, range(len(self.kept.first), len(lattice.first)), strict=True))
-        return lattice, np.fromiter(map(numbers.__getitem__, units), np.int64, len(units))
+            lattice.append(Lattice(self.vocabulary, new))
+        for unit in here:
+            here[unit] = numbers[unit] if unit in numbers else self.numbers[unit]
+        return lattice, np.fromiter(map(here.__getitem__, units), np.int64, len(units))
 
 
 class _Path:
@@ -515,9 +522,8 @@ def _rows(known: KnownUnits, batch: pa.RecordBatch, k: int, decode: bool) -> pa.
         names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "key", "inclusion", "round_trip"])
     if not decode:
         return rows
-    ends = np.cumsum(n_pieces)
-    return rows.append_column("text", pa.array(
-        [vocabulary.decode(ids[lo:hi]).decode("utf-8", "replace") for lo, hi in zip(ends - n_pieces, ends, strict=True)], pa.string()))
+    texts = [surface_text(spelt[lo:hi].tobytes()).decode("utf-8", "replace") for lo, hi in zip(begins, ends, strict=True)]
+    return rows.append_column("text", pa.array(texts, pa.string()))
 
 
 def sampled_segmentations(docs: DataFrame, model_file: str, k: int = 2, seed: int = 0, temperature: float = 1.0,
