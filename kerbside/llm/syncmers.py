@@ -33,29 +33,31 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _doubled(values: Column, join: Callable[[Column, Column], Column]) -> Column:
-    """Each element joined with the seven after it, in three doublings; the last seven mean nothing."""
+def _doubled(values: Column, join: Callable[[Column, Column], Column], times: int) -> Column:
+    """Each element joined with the 2 ** ``times`` - 1 after it, by doublings; as many of the last mean nothing."""
     def joined(step: int) -> Callable[[Column], Column]:
         return lambda v: F.zip_with(v, F.slice(v, step + 1, F.greatest(F.size(v) - step, F.lit(0))), join)
 
-    for step in (1, 2, 4):
-        values = bound(values, joined(step))
+    for i in range(times):
+        values = bound(values, joined(1 << i))
     return values
 
 
 def _chosen(piece: Column, start: Column) -> Column:
     """(position, rank) of the chosen runs of a piece."""
-    def pick(inner: Column, least: Column) -> Column:
-        def at(smallest: Column, i: Column) -> Column:
-            first, last = F.get(inner, i), F.get(inner, i + INNER - 1)
+    def pick(inner: Column, low: Column) -> Column:
+        # low: the least of four inner runs.  Most runs are passed over at a first comparison.
+        def at(front: Column, i: Column) -> Column:
+            first, last, back = F.get(inner, i), F.get(inner, i + INNER - 1), F.get(low, i + INNER // 2)
             rank = F.shiftright(F.xxhash64(first, last), 32).cast("int")
-            return F.when((smallest == first) | (smallest == last), F.struct((start + i).alias("position"), rank.alias("rank")))
+            chosen = ((front == first) & (first <= back)) | ((back == last) & (last <= front))
+            return F.when(chosen, F.struct((start + i).alias("position"), rank.alias("rank")))
 
-        runs = F.slice(least, 1, F.greatest(F.size(least) - (SPAN - 1), F.lit(0)))
+        runs = F.slice(low, 1, F.greatest(F.size(low) - (SPAN - 1), F.lit(0)))
         return F.array_compact(F.transform(runs, at))
 
-    return bound(_doubled(F.split(piece, ""), lambda a, b: F.xxhash64(a, b)), lambda inner: bound(
-        _doubled(inner, lambda a, b: F.least(a, b)), lambda least: pick(inner, least)))
+    return bound(_doubled(F.split(piece, ""), lambda a, b: F.xxhash64(a, b), 3), lambda inner: bound(
+        _doubled(inner, lambda a, b: F.least(a, b), 2), lambda low: pick(inner, low)))
 
 
 def anchors(text: Column, piece: int = PIECE) -> Column:
