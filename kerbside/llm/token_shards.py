@@ -33,7 +33,7 @@ MAGIC = 0x4B544F4B
 TRAILER = "<QQII"
 _ROWS = "shard int, file string, width int, doc_id long, offset long, n_ids long"
 _HIT = "doc_id long, shard int, offset long, n_ids long"
-_BATCH = 1024
+_BATCH = 256
 GAMMA = 2.0  # bits per key of a level: fewer make the index smaller and a lookup longer
 
 
