@@ -17,7 +17,7 @@ import copy
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -92,16 +92,21 @@ class Vocabulary(Surfaces):
         self.byte_weight = float(weights.min()) - 1.0
         self.longest = max(map(len, pieces))
         self.by_length: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        # By the upper bits of a run's hash: may a piece of this length be it, and may a longer one begin with it.
-        self.may_be, self.may_grow = (np.zeros((self.longest + 1, 1 << _SIEVE), bool) for _ in range(2))
+        # By the upper bits of a run's hash: the first piece of this length that may be it (-1: none), and may a longer one
+        # begin with it; and how many pieces of a length share their upper bits at most.
+        self.first_slot = np.full((self.longest + 1, 1 << _SIEVE), -1, np.int32)
+        self.may_grow = np.zeros((self.longest + 1, 1 << _SIEVE), bool)
+        self.deepest = [0] * (self.longest + 1)
         for length in range(1, self.longest + 1):
             here = [j for j, p in enumerate(pieces) if len(p) == length]
             prefixes = _running_hashes(np.array([[ord(c) for c in pieces[j]] for j in here], np.uint64).reshape(-1, length))
             hashes = prefixes[-1]
-            self.may_be[length, _upper(hashes)] = True
             for shorter, h in enumerate(prefixes[:-1], 1):
                 self.may_grow[shorter, _upper(h)] = True
             order = np.argsort(hashes)
+            upper, slots, sharing = np.unique(_upper(hashes[order]), return_index=True, return_counts=True)
+            self.first_slot[length, upper] = slots
+            self.deepest[length] = int(sharing.max(initial=0))
             if len(np.unique(hashes)) != len(hashes):
                 raise ValueError("two pieces have the same hash")
             self.by_length.append((hashes[order], np.array(plain, np.int32)[here][order], weights[here][order]))
@@ -151,10 +156,13 @@ class Lattice:
             grown = h[at] * _BASE + mixed[at + length - 1]
             h[at] = grown
             upper = _upper(grown)
-            maybe = np.flatnonzero(vocabulary.may_be[length][upper])
+            slot = vocabulary.first_slot[length][upper]
+            maybe = np.flatnonzero(slot >= 0)
             if len(maybe):
-                slot = np.minimum(np.searchsorted(hashes, grown[maybe]), len(hashes) - 1)
-                hit = hashes[slot] == grown[maybe]
+                slot, wanted = slot[maybe], grown[maybe]
+                for _ in range(vocabulary.deepest[length] - 1):
+                    slot += (hashes[slot] < wanted) & (slot < len(hashes) - 1)
+                hit = hashes[slot] == wanted
                 begin, slot = place[at[maybe[hit]]], slot[hit]
                 node.append(begin)
                 to.append(begin + np.int32(length))
@@ -195,17 +203,28 @@ class Lattice:
         self.start[self.node[starts]] = starts
         self.single = np.repeat(sizes == 1, sizes)
 
-    def append(self, other: Lattice) -> None:
-        """Take over another lattice's units, after one's own."""
-        n_edges, n_plain = np.int32(len(self.node)), self.size
-        spelt = np.where(other.piece >= n_plain, len(self.spellings), 0).astype(np.int32)
-        self.piece = np.concatenate([self.piece, other.piece + spelt])
-        self.spellings += other.spellings
-        for name, offset in (("first", self.n_nodes), ("node", np.int32(self.n_nodes)), ("to", np.int32(self.n_nodes)), ("start", n_edges)):
-            setattr(self, name, np.concatenate([getattr(self, name), getattr(other, name) + offset]))
-        for name in ("is_last", "probability", "below", "upto", "single"):
-            setattr(self, name, np.concatenate([getattr(self, name), getattr(other, name)]))
-        self.n_nodes += other.n_nodes
+    def joined(self, other: Lattice, room: dict[str, np.ndarray]) -> Lattice:
+        """The units of both, one's own first.
+
+        The arrays are parts of those in ``room``, where one's own stay in place and only the other's are written, behind
+        them; what an earlier call wrote there is gone.
+        """
+        both, n_edges, n_plain = copy.copy(self), np.int32(len(self.node)), self.size
+        pieces = other.piece + np.where(other.piece >= n_plain, len(self.spellings), 0).astype(np.int32)
+        both.spellings = self.spellings + other.spellings
+        both.n_nodes = self.n_nodes + other.n_nodes
+        moved = {"piece": pieces, "first": other.first + self.n_nodes, "node": other.node + np.int32(self.n_nodes),
+                 "to": other.to + np.int32(self.n_nodes), "start": other.start + n_edges}
+        for name in (*moved, "is_last", "probability", "below", "upto", "single"):
+            mine, others = getattr(self, name), moved.get(name, getattr(other, name))
+            end = len(mine) + len(others)
+            if name not in room or len(room[name]) < end:
+                room[name] = np.empty(end + end // 4, mine.dtype)
+                room[name][:len(mine)] = mine
+                setattr(self, name, room[name][:len(mine)])
+            room[name][len(mine):end] = others
+            setattr(both, name, room[name][:end])
+        return both
 
     def log(self, edges: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore"):
@@ -260,33 +279,36 @@ class Lattice:
 class KnownUnits:
     """The lattices of units that came up in more than one batch, at most about ``most`` nodes of them."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 1 << 19):
+    def __init__(self, vocabulary: Vocabulary, most: int = 1 << 20):
         self.vocabulary, self.most = vocabulary, most
         self.numbers: dict[str, int] = {}
         self.kept = Lattice(vocabulary, ["\n"])
+        self.room: dict[str, np.ndarray] = {}
         self.met: set[int] = set()
 
     def lattice_of(self, units: list[str]) -> tuple[Lattice, np.ndarray]:
-        """A lattice that has all the units, and the number of each in it."""
-        here = dict.fromkeys(units)
-        new = [unit for unit in here if unit not in self.numbers]
+        """A lattice that has all the units, until the next call, and the number of each in it."""
+        kinds = pa.array(units, pa.string()).dictionary_encode()
+        here = kinds.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.numbers.get, here, repeat(-1)), np.int64, len(here))
+        new = np.flatnonzero(numbers < 0)
         if self.kept.n_nodes < self.most:
-            again = [unit for unit in new if hash(unit) in self.met]
-            if again:
-                self.numbers.update(zip(again, range(len(self.kept.first), len(self.kept.first) + len(again)), strict=True))
-                self.kept.append(Lattice(self.vocabulary, again))
-                new = [unit for unit in new if unit not in self.numbers]
+            hashes = [hash(here[i]) for i in new.tolist()]
+            met = np.fromiter(map(self.met.__contains__, hashes), bool, len(hashes))
+            again, new = new[met], new[~met]
+            if len(again):
+                numbers[again] = len(self.kept.first) + np.arange(len(again))
+                kept = [here[i] for i in again.tolist()]
+                self.numbers.update(zip(kept, numbers[again].tolist(), strict=True))
+                self.kept = self.kept.joined(Lattice(self.vocabulary, kept), self.room)
             if len(self.met) > self.most:
                 self.met.clear()
-            self.met.update(map(hash, new))
-        lattice, numbers = self.kept, dict(zip(new, range(len(self.kept.first), len(self.kept.first) + len(new)), strict=True))
-        if new:
-            lattice = copy.copy(self.kept)
-            lattice.spellings = list(self.kept.spellings)
-            lattice.append(Lattice(self.vocabulary, new))
-        for unit in here:
-            here[unit] = numbers[unit] if unit in numbers else self.numbers[unit]
-        return lattice, np.fromiter(map(here.__getitem__, units), np.int64, len(units))
+            self.met.update(compress(hashes, ~met))
+        lattice = self.kept
+        if len(new):
+            numbers[new] = len(self.kept.first) + np.arange(len(new))
+            lattice = self.kept.joined(Lattice(self.vocabulary, [here[i] for i in new.tolist()]), self.room)
+        return lattice, numbers[kinds.indices.to_numpy()]
 
 
 class _Path:
@@ -296,6 +318,7 @@ class _Path:
         self.edges, self.sizes, self.unit = edges, sizes, unit  # unit: place in the batch of the edge's unit
         self.starts = np.cumsum(sizes) - sizes
         self.text = np.repeat(np.arange(len(sizes)), sizes)
+        self.total = np.zeros(1)  # log-probabilities added up, of none, one, two, .. edges
 
 
 def _walk(lattice: Lattice, node: np.ndarray, place: np.ndarray, within: np.ndarray, seed: np.ndarray, sample: int):
@@ -356,9 +379,10 @@ def sample_batch(vocabulary: Vocabulary, texts: list[str], seeds: np.ndarray, k:
         path = _Path(edges, sizes, unit)
         logs = lattice.log(edges)
         cum = np.cumsum(logs)
-        base = np.r_[0.0, cum][path.starts]
+        path.total = np.r_[0.0, cum]
+        base = path.total[path.starts]
         before = cum - logs - base[path.text]
-        log_prob[sample] = np.where(sizes > 0, np.r_[0.0, cum][path.starts + sizes] - base, 0.0)
+        log_prob[sample] = np.where(sizes > 0, path.total[path.starts + sizes] - base, 0.0)
         at = np.arange(len(edges)) - path.starts[path.text]
         key = np.full(len(edges), -np.inf)
         rows = np.flatnonzero((at >= fresh_from[path.text]) & ~lattice.single[edges])
@@ -396,8 +420,7 @@ def sample_batch(vocabulary: Vocabulary, texts: list[str], seeds: np.ndarray, k:
         for r, path in enumerate(paths):
             own = rows[which[rows] == r]
             left_edge[own], left_unit[own], at[own] = path.edges[place[own]], path.unit[place[own]], place[own] - path.starts[own]
-            total = np.r_[0.0, np.cumsum(lattice.log(path.edges))]
-            before_mass[own] = total[place[own]] - total[path.starts[own]]
+            before_mass[own] = path.total[place[own]] - path.total[path.starts[own]]
         parent[sample, rows], parent_at[sample, rows] = which[rows], at[rows]
         node = lattice.node[left_edge[rows]]
         taken = [(left_edge[rows], np.ones(len(rows), bool))]

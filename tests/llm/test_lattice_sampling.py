@@ -127,3 +127,30 @@ def test_sampling_worker_decodes_from_the_bytes_it_has_spelt(monkeypatch):
         rows = ls._rows(known, batch, 2, True).to_pylist()
         assert {(r["doc_id"], r["text"]) for r in rows} == set(enumerate(texts)) and all(r["round_trip"] for r in rows)
         assert all(LIBRARY.decode(np.frombuffer(r["ids"], "<i4").tolist()) == r["text"] for r in rows)
+
+
+def _edges_of(lattice, number, unit):
+    first = lattice.first[number]
+    own = (lattice.node >= first) & (lattice.node < first + len(unit))
+    return [x.tolist() for x in (lattice.node[own] - first, lattice.to[own] - first, lattice.piece[own], lattice.probability[own])]
+
+
+def test_known_units_stay_where_they_are():
+    # All that was known used to be copied for every batch, with the batch's new units behind it.
+    known, units = ls.KnownUnits(VOCABULARY), [f"{ls.BLANK}word{i}" for i in range(60)]
+    for turn, batch in enumerate((units, units, [*units[::2], f"{ls.BLANK}new", units[0]], units)):
+        lattice, numbers = known.lattice_of(batch)
+        if turn > 1:
+            assert all(np.shares_memory(getattr(lattice, name), getattr(known.kept, name)) for name in ("node", "piece", "upto", "first"))
+        for unit, number in zip(batch, numbers, strict=True):
+            assert _edges_of(lattice, number, unit) == _edges_of(ls.Lattice(VOCABULARY, [unit]), 0, unit)
+
+
+def test_pieces_that_share_the_upper_bits_of_their_hash_are_told_apart(monkeypatch):
+    units = [f"{ls.BLANK}some", "words", f"{ls.BLANK}{ls.BLANK}and", "日本", "\n", "Größe,", "zzzzqqqq"]
+    plain = ls.Lattice(VOCABULARY, units)
+    monkeypatch.setattr(ls, "_SIEVE", 4)
+    with open(MODEL, "rb") as file:
+        crowded = ls.Vocabulary(file.read())
+    assert max(crowded.deepest) > 100
+    assert all(np.array_equal(getattr(ls.Lattice(crowded, units), name), getattr(plain, name)) for name in ("node", "to", "piece", "upto"))
