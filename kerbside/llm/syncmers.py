@@ -33,45 +33,59 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _doubled(values: Column, join: Callable[[Column, Column], Column], times: int) -> Column:
-    """Each element joined with the 2 ** ``times`` - 1 after it, by doublings; as many of the last mean nothing."""
-    def joined(step: int) -> Callable[[Column], Column]:
-        return lambda v: F.zip_with(v, F.slice(v, step + 1, F.greatest(F.size(v) - step, F.lit(0))), join)
+def _doubled(values: Column, join: Callable[[Column, Column], Column], times: int, body: Callable[[Column], Column]) -> Column:
+    """``body`` of each element joined with the 2 ** ``times`` - 1 after it, by doublings; as many of the last mean nothing.
 
-    for i in range(times):
-        values = bound(values, joined(1 << i))
-    return values
+    The arrays between are bound where they are used: only what ``body`` makes is handed out, and copied on the way.
+    """
+    def from_step(i: int) -> Callable[[Column], Column]:
+        if i == times:
+            return body
+        return lambda v: bound(F.zip_with(v, F.slice(v, (1 << i) + 1, F.greatest(F.size(v) - (1 << i), F.lit(0))), join), from_step(i + 1))
+
+    return bound(values, from_step(0))
 
 
-def _chosen(piece: Column, start: Column) -> Column:
-    """(position, rank) of the chosen runs of a piece."""
+def _chosen(piece: Column, value: Callable[[Column, Column], Column]) -> Column:
+    """Of each chosen run of a piece the value of its place and rank, by place."""
     def pick(inner: Column, low: Column) -> Column:
-        # low: the least of four inner runs.  Most runs are passed over at a first comparison.
-        def at(front: Column, i: Column) -> Column:
-            first, last, back = F.get(inner, i), F.get(inner, i + INNER - 1), F.get(low, i + INNER // 2)
-            rank = F.shiftright(F.xxhash64(first, last), 32).cast("int")
-            chosen = ((front == first) & (first <= back)) | ((back == last) & (last <= front))
-            return F.when(chosen, F.struct((start + i).alias("position"), rank.alias("rank")))
+        # low: the least of four inner runs.  Most runs are passed over at a first comparison; arrays are shifted as a
+        # whole before, so that a place finds what belongs to it without arithmetic.
+        n_runs = F.greatest(F.size(low) - (SPAN - 1), F.lit(0))
 
-        runs = F.slice(low, 1, F.greatest(F.size(low) - (SPAN - 1), F.lit(0)))
-        return F.array_compact(F.transform(runs, at))
+        def at(lasts: Column, backs: Column) -> Callable[[Column, Column], Column]:
+            def judged(front: Column, i: Column) -> Column:
+                first, last, back = F.get(inner, i), F.get(lasts, i), F.get(backs, i)
+                chosen = ((front == first) & (first <= back)) | ((back == last) & (last <= front))
+                return F.when(chosen, value(i, F.shiftright(F.xxhash64(first, last), 32).cast("int")))
+            return judged
 
-    return bound(_doubled(F.split(piece, ""), lambda a, b: F.xxhash64(a, b), 3), lambda inner: bound(
-        _doubled(inner, lambda a, b: F.least(a, b), 2), lambda low: pick(inner, low)))
+        return bound(F.slice(inner, INNER, n_runs), lambda lasts: bound(F.slice(low, INNER // 2 + 1, n_runs), lambda backs: F.array_compact(
+            F.transform(F.slice(low, 1, n_runs), at(lasts, backs)))))
 
+    return _doubled(F.split(piece, ""), lambda a, b: F.xxhash64(a, b), 3, lambda inner: _doubled(
+        inner, lambda a, b: F.least(a, b), 2, lambda low: pick(inner, low)))
 
-def anchors(text: Column, piece: int = PIECE) -> Column:
-    """Array of (position, rank) of the chosen runs of a text, by position; empty below ``SPAN`` code points."""
+
+def _pieces(text: Column, piece: int) -> Column:
+    """A text cut into pieces that overlap, so that every run lies within one."""
     def with_overlap(cut: Column) -> Column:
         return F.transform(cut, lambda p, n: F.concat(p, F.coalesce(F.substring(F.get(cut, n + 1), 1, SPAN - 1), F.lit(""))))
 
-    pieces = bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{piece}}}"), F.lit(0)), with_overlap)
-    return F.flatten(F.transform(pieces, lambda p, n: _chosen(p, n * piece)))
+    return bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{piece}}}"), F.lit(0)), with_overlap)
+
+
+def anchors(text: Column, piece: int = PIECE) -> Column:
+    """Array of (position, rank) of the chosen runs of a text, by position; empty below ``SPAN`` code points."""
+    def anchor(start: Column) -> Callable[[Column, Column], Column]:
+        return lambda i, rank: F.struct((start + i).alias("position"), rank.alias("rank"))
+
+    return F.flatten(F.transform(_pieces(text, piece), lambda p, n: _chosen(p, anchor(n * piece))))
 
 
 def sketch(text: Column, piece: int = PIECE) -> Column:
     """The smallest ranks of the distinct anchors of a text, ascending; empty below ``SPAN`` code points."""
-    return smallest(F.transform(anchors(text, piece), lambda a: a["rank"]))
+    return bound(F.flatten(F.transform(_pieces(text, piece), lambda p: _chosen(p, lambda _, rank: rank))), smallest)
 
 
 def smallest(ranks: Column) -> Column:

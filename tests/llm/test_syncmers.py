@@ -1,4 +1,5 @@
 import hashlib
+import re
 import struct
 
 import xxhash
@@ -104,3 +105,9 @@ def test_least_inner_runs_are_compared_where_a_run_is_chosen(spark):
     # Three doublings of hashes and two of minima: a third one over all places was a seventh of the time.
     plan = spark.range(1).select(syncmers.anchors(F.col("id").cast("string")).alias("a"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("zip_with(") == 5
+
+
+def test_places_are_looked_up_without_arithmetic(spark):
+    # Sums and differences of the place of every run were a tenth of a sketch's time (the number of a piece may be added to).
+    plan = spark.range(1).select(syncmers.sketch(F.col("id").cast("string")).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with(" in plan and not re.search(r"lambda \w+#\d+L? [+-] (?!1\b)\d", plan)
