@@ -29,7 +29,7 @@ from sentencepiece import SentencePieceProcessor
 
 BLANK = "▁"
 _BASE = np.uint64(0x100000001B3)
-_UNITS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")
+_UNITS = re.compile(" +[^ \n]*|\n|[^ \n]+")  # with blanks as in texts: most units are ASCII then, which is cheaper to look up
 # What a random number is for; the walks' own have 0, so samples may be up to 256.
 ROOT, ALTERNATIVE, BRANCH, REMAINDER = (i << 8 for i in range(1, 5))
 _BATCH_CHARS = 1 << 19
@@ -118,7 +118,10 @@ class Vocabulary(Surfaces):
             self._starts = np.cumsum(self._lengths) - self._lengths
             self._bytes = np.frombuffer(b"".join(self.surface), np.uint8)
         n = self._lengths[ids]
-        return self._bytes[np.repeat(self._starts[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+        small = np.int32 if n.sum() < 1 << 31 else np.int64
+        shift = (self._starts[ids] - (np.cumsum(n) - n)).astype(small)
+        return self._bytes[np.repeat(shift, n) + np.arange(n.sum(), dtype=small)], n
+
 
 def _running_hashes(codes: np.ndarray) -> list[np.ndarray]:
     """Of the first one, two, .. columns."""
@@ -300,16 +303,19 @@ class KnownUnits:
                 numbers[again] = len(self.kept.first) + np.arange(len(again))
                 kept = [here[i] for i in again.tolist()]
                 self.numbers.update(zip(kept, numbers[again].tolist(), strict=True))
-                self.kept = self.kept.joined(Lattice(self.vocabulary, kept), self.room)
-            if len(self.met) > self.most:
-                self.met.clear()
+                self.kept = self.kept.joined(self._lattice(kept), self.room)
+            if len(self.met) > self.most >> 2 or self.kept.n_nodes >= self.most:
+                self.met = set()
             self.met.update(compress(hashes, ~met))
         lattice = self.kept
         if len(new):
             numbers[new] = len(self.kept.first) + np.arange(len(new))
-            lattice = self.kept.joined(Lattice(self.vocabulary, [here[i] for i in new.tolist()]), self.room)
+            lattice = self.kept.joined(self._lattice([here[i] for i in new.tolist()]), self.room)
         return lattice, numbers[kinds.indices.to_numpy()]
 
+    def _lattice(self, units: list[str]) -> Lattice:
+        return Lattice(self.vocabulary, [unit.replace(" ", BLANK) for unit in units])
+
 
 class _Path:
     """One segmentation of each text of a batch: edges one after another, with the keys of their alternatives."""
@@ -353,7 +359,7 @@ def _below(top: np.ndarray, mass: np.ndarray, u: np.ndarray) -> np.ndarray:
 
 def sample_batch(vocabulary: Vocabulary, texts: list[str], seeds: np.ndarray, k: int, known: KnownUnits | None = None):
     """For each text up to ``k`` distinct segmentations: (ids, log-probability, key, inclusion probability)."""
-    cut = [_UNITS.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+    cut = [_UNITS.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
     n_units = np.fromiter(map(len, cut), np.int64, len(cut))
     root_key = _gumbel(_uniform(seeds, ROOT, np.zeros(len(texts)), 0))
     if not n_units.sum():
