@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from kerbside.functions.calendar import month_start
 from kerbside.functions.text import clean_text, na_to_null, to_date, to_number
 from kerbside.operators.dense_id import dense_id
+from kerbside.operators.in_place import keep_first_in_place
 from kerbside.operators.keep_first import keep_first
 from kerbside.operators.profile import QUARTILES, column_profile, describe, table_size
 from kerbside.operators.settle import settle
@@ -114,8 +115,9 @@ def store_upsert_months(layers: StarWarehouse) -> DataFrame:
     store = Warehouse(layers.spark, f"{layers.store.root}/_upserts/{uuid4().hex}")
     newest = [F.desc("extraction_month")]
     store.create("bronze", "booking")
-    store.append(keep_first(rows.where(F.col("extraction_month") <= AS_OF), ["booking_id"], newest), "bronze", "booking")
-    store.upsert(rows.where(F.col("extraction_month") > AS_OF), "bronze", "booking", ["booking_id"], newest)
+    older = keep_first_in_place(rows.where(F.col("extraction_month") <= AS_OF), ["booking_id"], newest)
+    store.append(older, "bronze", "booking", dealt=True)
+    store.upsert(rows.where(F.col("extraction_month") > AS_OF), "bronze", "booking", ["booking_id"], newest, dealt=True)
     return store.read("bronze", "booking", ["booking_id", "extraction_month", "booking_status", "booking_value", "date"])
 
 

@@ -21,9 +21,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.operators.in_place import AT, FILE, at_places, bitmaps, placed
 from kerbside.operators.keep_first import keep_first
 from kerbside.operators.settle import STORED_AS, settled
-from kerbside.operators.upsert import insert_new, replaced, upsert
+from kerbside.operators.upsert import insert_new, upsert
 from kerbside.schemas import AUDIT_COLUMNS, all_tables, schema_of
 from kerbside.sources.files import child_names, delete_tree, move, path_exists
 
@@ -98,12 +99,12 @@ class Warehouse:
             self._store(self.spark.createDataFrame([], schema_of(layer, table)), self.path(layer, table), "append",
                         by_month=layer in BY_MONTH)
 
-    def append(self, df: DataFrame, layer: str, table: str) -> int:
-        """Add rows to an existing table; loading the same rows twice stores them twice."""
+    def append(self, df: DataFrame, layer: str, table: str, *, dealt: bool = False) -> int:
+        """Add rows to an existing table; loading the same rows twice stores them twice.  ``dealt`` as in ``stage_months``."""
         if not self.exists(layer, table):
             raise ValueError(f"no table {layer}.{table}: create it first")
         return self._store(conform(df, schema_of(layer, table)), self.path(layer, table), "append",
-                           by_month=layer in BY_MONTH)
+                           by_month=layer in BY_MONTH, dealt=dealt)
 
     def _aside(self, layer: str, table: str) -> str:
         """A new folder below the root; names with a leading underscore are no tables."""
@@ -156,34 +157,54 @@ class Warehouse:
         return self.replace_months(df, table, [month])
 
     def upsert(self, updates: DataFrame, layer: str, table: str, keys: Sequence[str],
-               newest_first: Sequence[str | Column]) -> int:
+               newest_first: Sequence[str | Column], *, dealt: bool = False) -> int:
         """Merge by key, latest wins; rows written.
 
         Of a table by month only the folders are rewritten that hold an updated key or get an update; all others keep
-        their files.  Another table is written whole before it replaces its own input.
+        their files.  The updates are stored by month aside; which of them and of the stored rows stay is found from
+        keys and places alone.  ``dealt`` says that the updates lie by month already: then no row is moved, and a
+        month keeps about as many files as its parts came from.  Otherwise rows are rebalanced by month on their way in
+        and out.  Another table is written whole before it replaces its own input.
         """
-        rows = conform(updates, schema_of(layer, table))
+        schema = schema_of(layer, table)
+        rows = conform(updates, schema)
         if layer not in BY_MONTH:
             return self.overwrite(upsert(self.read(layer, table), rows, keys, newest_first), layer, table)
-        with settled(keep_first(rows, keys, newest_first), "updates") as newest:
-            months = self.touched_months(newest, layer, table, keys)
-            kept = self.read(layer, table, where=F.col(MONTH).isin(months))
-            staged = self.stage_months(replaced(kept, newest, keys), table, layer)
-            staged.put(months)
-            return staged.rows
+        aside = self.stage_months(rows, table, layer, dealt=dealt)
+        try:
+            came = self.spark.read.schema(schema).parquet(aside.path)
+            with settled(keep_first(placed(came), keys, newest_first).select(*keys, MONTH, FILE, AT), "newest") as newest:
+                months, gone = self._touched(newest, layer, table, keys)
+                kept = self.read(layer, table, where=F.col(MONTH).isin(months))
+                if gone is not None:
+                    kept = at_places(kept, gone, chosen=False)
+                merged = kept.unionByName(at_places(came, bitmaps(newest.select(FILE, AT))).select(*kept.columns))
+                staged = self.stage_months(merged, table, layer, dealt=dealt)
+                staged.put(months)
+                return staged.rows
+        finally:
+            aside.discard()
 
     def touched_months(self, updates: DataFrame, layer: str, table: str, keys: Sequence[str]) -> list[str]:
-        """Months of a table that an upsert changes: from the key columns alone, with a pushed filter for few keys."""
+        """Months of a table that an upsert changes."""
+        return self._touched(updates, layer, table, keys)[0]
+
+    def _touched(self, updates: DataFrame, layer: str, table: str, keys: Sequence[str]) -> tuple[list[str], DataFrame | None]:
+        """Months that an upsert changes and bitmaps of the stored rows it replaces (none for an absent table): from the
+        key columns alone, with a pushed filter for few keys."""
         own = {r[0] for r in updates.select(MONTH).distinct().collect()}  # calendar months
         if None in own:
             raise ValueError(f"an update of {layer}.{table} has no {MONTH}")
-        stored = self.read(layer, table, [*keys, MONTH])
+        if not self.exists(layer, table):
+            return sorted(own), None
+        stored = placed(self.read(layer, table, [*keys, MONTH]))
         some = updates.select(keys[0]).distinct().limit(PUSHED_KEYS + 1).collect()
         if len(some) <= PUSHED_KEYS and all(r[0] is not None for r in some):
             stored = stored.where(F.col(keys[0]).isin([r[0] for r in some]))
-        changed = updates.select(*keys).distinct()
+        changed = updates.select(*keys)
         same = reduce(lambda a, b: a & b, [stored[k].eqNullSafe(changed[k]) for k in keys])
-        return sorted(own | {r[0] for r in stored.join(changed, same, "left_semi").select(MONTH).distinct().collect()})
+        gone = bitmaps(stored.join(changed, same, "left_semi").select(FILE, AT, MONTH), MONTH)
+        return sorted(own | {r[0] for r in gone.select(MONTH).distinct().collect()}), gone
 
     def add_new(self, df: DataFrame, table: str, keys: Sequence[str], months: Sequence[str]) -> int:
         """Append the rows whose key is not stored yet in their month.
