@@ -7,18 +7,21 @@ counts for the base score.
 
 Scoring: a worker loads the segments in shards of bounded size and asks (x, 1), (x, 2), .. until one is absent:
 the number of hits gives the count.  The filter grows with the corpus, so it goes to the workers through the shared
-folder and not through the driver, and a worker holds one shard at a time, however many there are.
+folder and not through the driver, and a worker holds one shard at a time, however many there are.  A task gathers its
+texts' n-grams first, in the order of their segments and beyond a bound in a file of its own, and then goes through the
+shards once: of the model it reads every file once, however many texts it has.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
@@ -35,6 +38,8 @@ BITS_PER_EVENT = 16
 PROBE_BITS = 4  # bits of one event, all within one 64-bit word of the filter; each event of an n-gram has its own word
 _CHUNK_TOKENS = 1 << 20
 _PROBED_AT_ONCE = 1 << 17
+_GROUP_TOKENS = 1 << 26  # of the texts that are scored in one pass over the model
+_HELD_BYTES = 96 << 20  # of these tokens' n-grams in memory, about six million tokens; more go to a temporary file
 _COUNTS = "segment int, key long, n long, is_word boolean"
 _SEGMENTS = "segment int, filter binary, words binary, counts binary, tokens long, n_words long, filter_words long"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -177,11 +182,12 @@ class BigramModel:
     segments: int
     shards: tuple[tuple[int, int], ...]  # first and last segment
     sizes: tuple[tuple[int, int], ...]  # of each segment: words of its filter, and distinct words
+    files: tuple[str | None, ...]  # of each segment: the file that has it
     tokens: int
     vocabulary: int
 
 
-def train(docs: DataFrame, text: str = "text", segment_bytes: int = 4 << 20, shard_bytes: int = 64 << 20) -> BigramModel:
+def train(docs: DataFrame, text: str = "text", segment_bytes: int = 4 << 20, shard_bytes: int = 16 << 20) -> BigramModel:
     """Count every word and bigram of all texts (null: empty).  One segment per ``segment_bytes`` of text; a shard
     is as many segments as stay below ``shard_bytes``, the bound of what a worker holds of the model."""
     session = docs.sparkSession
@@ -191,9 +197,11 @@ def train(docs: DataFrame, text: str = "text", segment_bytes: int = 4 << 20, sha
     path = scratch_path(session, "bigrams")
     counts = whole.mapInArrow(_count(segments), _COUNTS)
     counts.repartition(segments, "segment").mapInArrow(_build, _SEGMENTS).write.parquet(path)
-    rows = session.read.schema(_SEGMENTS).parquet(path).select("segment", "tokens", "n_words", "filter_words").collect()  # no payload
+    rows = session.read.schema(_SEGMENTS).parquet(path).select(
+        "segment", "tokens", "n_words", "filter_words", F.col("_metadata.file_name").alias("file")).collect()  # no payload
     of = {r["segment"]: r for r in rows}
     sizes = tuple((of[s]["filter_words"], of[s]["n_words"]) if s in of else (1, 0) for s in range(segments))
+    files = tuple(of[s]["file"] if s in of else None for s in range(segments))
     shards, first, held = [], 0, 0
     for segment, (filter_words, n_words) in enumerate(sizes):
         size = 8 * filter_words + 16 * n_words
@@ -202,7 +210,7 @@ def train(docs: DataFrame, text: str = "text", segment_bytes: int = 4 << 20, sha
             first, held = segment, 0
         held += size
     shards.append((first, segments - 1))
-    return BigramModel(path, segments, tuple(shards), sizes, sum(r["tokens"] for r in rows), sum(r["n_words"] for r in rows))
+    return BigramModel(path, segments, tuple(shards), sizes, files, sum(r["tokens"] for r in rows), sum(r["n_words"] for r in rows))
 
 
 # ---- scoring ----
@@ -218,12 +226,14 @@ class Shard:
         self.filter = np.zeros(int(self.sizes.sum()), np.uint64)
         self.words, self.counts = np.empty(int(n_words.sum()), np.uint64), np.empty(int(n_words.sum()), np.int64)
         system, path = fs.FileSystem.from_uri(model.path)
-        wanted = (ds.field("segment") >= first) & (ds.field("segment") <= last)
         columns = ["segment", "filter", "words", "counts"]
-        # Row by row into the arrays: no second copy of the shard.
-        for batch in ds.dataset(path, filesystem=system, format="parquet").to_batches(
-                filter=wanted, columns=columns, batch_size=1, batch_readahead=1, fragment_readahead=1, use_threads=False):
-            for segment, *parts in zip(*(batch.column(c) for c in columns), strict=True):
+        # A file, which has a few segments, at a time into the arrays: no second copy of the shard.
+        for file in sorted({file for file in model.files[first:last + 1] if file}):
+            with system.open_input_file(f"{path}/{file}") as source:
+                rows = pq.ParquetFile(source).read(columns=columns, use_threads=False)
+            for segment, *parts in zip(*(rows.column(c) for c in columns), strict=True):
+                if not first <= segment.as_py() <= last:
+                    continue
                 i = segment.as_py() - first
                 for target, start, part in zip((self.filter, self.words, self.counts),
                                                (self.starts[i], self.word_starts[i], self.word_starts[i]), parts, strict=True):
@@ -276,43 +286,115 @@ def expected_count(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 1, np.exp2(levels - 0.5), levels.astype(np.float64))
 
 
-def _look_up(model: BigramModel, keys: np.ndarray, exact: bool) -> tuple[np.ndarray, np.ndarray]:
-    segment = _segment_of(keys, model.segments)
-    levels, counts = np.zeros(len(keys), np.int64), np.zeros(len(keys) if exact else 0, np.int64)
-    for bounds in model.shards:
-        rows = np.flatnonzero((segment >= bounds[0]) & (segment <= bounds[1])) if len(model.shards) > 1 else slice(None)
-        shard = _shard(model, bounds)
-        own_keys, own_segment = keys[rows], segment[rows]
-        levels[rows] = np.concatenate([shard.quantised(own_keys[i:i + _PROBED_AT_ONCE], own_segment[i:i + _PROBED_AT_ONCE])
-                                       for i in range(0, len(own_keys), _PROBED_AT_ONCE)] or [levels[:0]])
-        if exact:
-            counts[rows] = shard.exact(own_keys, own_segment)
-    return levels, counts
+class _Held:
+    """Arrays in memory up to a bound, and beyond it in a temporary file of the worker."""
+
+    def __init__(self):
+        self.bytes, self.file = 0, None
+
+    def put(self, values: np.ndarray) -> np.ndarray | tuple[int, np.dtype, int]:
+        if self.bytes + values.nbytes <= _HELD_BYTES:
+            self.bytes += values.nbytes
+            return values
+        if self.file is None:
+            self.file = tempfile.TemporaryFile()
+        at = self.file.seek(0, 2)
+        self.file.write(np.ascontiguousarray(values).data)
+        return at, values.dtype, len(values)
+
+    def get(self, held: np.ndarray | tuple[int, np.dtype, int], start: int = 0, end: int | None = None) -> np.ndarray:
+        if isinstance(held, np.ndarray):
+            return held[start:end]
+        at, dtype, n = held
+        self.file.seek(at + start * dtype.itemsize)
+        return np.frombuffer(self.file.read(((n if end is None else end) - start) * dtype.itemsize), dtype)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
+class _Probes:
+    """Keys in the order of their segments, and what the shards say of them, shard by shard."""
+
+    def __init__(self, model: BigramModel, keys: np.ndarray, held: _Held, exact: bool):
+        segment = _segment_of(keys, model.segments)
+        order = np.argsort(segment.astype(np.uint16) if model.segments <= 1 << 16 else segment, kind="stable")
+        self.cuts = np.searchsorted(segment[order], [*(first for first, _ in model.shards), model.segments])
+        self.held, self.exact = held, exact
+        self.keys, self.order = held.put(keys[order]), held.put(order.astype(np.int32))
+        self.levels, self.counts = [], []
+
+    def ask(self, shard: Shard, i: int, segments: int) -> None:
+        keys = self.held.get(self.keys, self.cuts[i], self.cuts[i + 1])
+        segment = _segment_of(keys, segments)
+        levels = [shard.quantised(keys[j:j + _PROBED_AT_ONCE], segment[j:j + _PROBED_AT_ONCE]).astype(np.uint8)
+                  for j in range(0, len(keys), _PROBED_AT_ONCE)]
+        self.levels += [self.held.put(x) for x in levels]
+        if self.exact and len(keys):
+            self.counts.append(self.held.put(shard.exact(keys, segment)))
+
+    def _answers(self, parts: list, dtype: type) -> np.ndarray:
+        found = np.concatenate([self.held.get(x) for x in parts] or [np.empty(0, dtype)])
+        values = np.empty(len(found), dtype)
+        values[self.held.get(self.order)] = found
+        return values
+
+    def answers(self) -> tuple[np.ndarray, np.ndarray]:
+        """Levels of the keys in their own order, and their counts if these were asked for."""
+        return self._answers(self.levels, np.int64), self._answers(self.counts, np.int64) if self.exact else np.empty(0, np.int64)
 
 
 def _score(model: BigramModel, prior: float):
     scale = model.tokens + 1 * (model.vocabulary + 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, tokens, sizes in _text_chunks(batches):
+    def scored(gathered: list[tuple], held: _Held) -> Iterator[pa.RecordBatch]:
+        for i, bounds in enumerate(model.shards):
+            shard = _shard(model, bounds)
+            for _, _, _, _, words, pairs in gathered:
+                words.ask(shard, i, model.segments)
+                pairs.ask(shard, i, model.segments)
+        while gathered:
+            ids, sizes, place, end, words, pairs = gathered.pop(0)
             starts = np.cumsum(sizes) - sizes
-            distinct, place = np.unique(tokens, return_inverse=True)
-            levels, counts = _look_up(model, distinct, exact=True)
+            place = held.get(place)
+            levels, counts = words.answers()
             exact, seen = counts[place], expected_count(levels)
-            n_ends = seen[distinct == END]
             word = seen[place]
-            history = _before(word, sizes, n_ends[0] if len(n_ends) else 0.0)  # a start for every end
-            pair = expected_count(_look_up(model, bigram_hashes(tokens, sizes), exact=False)[0])
+            history = _before(word, sizes, seen[end])  # a start for every end
+            pair = expected_count(pairs.answers()[0])
             pair = np.minimum(pair, np.minimum(history, word))  # no count exceeds those of its words
             chance = (pair + prior * (word + 1) / scale) / (history + prior)
             yield pa.RecordBatch.from_arrays(
-                [*[c.combine_chunks() for c in table.select(["doc_id", "held_out"]).columns], pa.array(sizes),
+                [*ids, pa.array(sizes),
                  pa.array(np.add.reduceat((exact > 0).astype(np.int64), starts)),
                  pa.array(np.full(len(sizes), model.tokens, np.int64)),
                  pa.array(np.add.reduceat(np.log10((exact + 1) / scale), starts)),
                  pa.array(np.add.reduceat(np.log10(np.minimum(chance, 1.0)), starts))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered, held, total = [], _Held(), 0
+        try:
+            for table, tokens, sizes in _text_chunks(batches):
+                # Copies of the few columns: slices would keep the texts they came with.
+                ids = [table.column(c).combine_chunks().take(pa.array(np.arange(len(sizes)))) for c in ("doc_id", "held_out")]
+                distinct, place = np.unique(tokens, return_inverse=True)
+                pairs = _Probes(model, bigram_hashes(tokens, sizes), held, exact=False)
+                words = _Probes(model, distinct, held, exact=True)
+                end = int(np.searchsorted(distinct, END))  # every text has one
+                gathered.append((ids, sizes, held.put(place.astype(np.int32)), end, words, pairs))
+                total += len(tokens)
+                del table, tokens
+                if total >= _GROUP_TOKENS:
+                    yield from scored(gathered, held)
+                    held.close()
+                    gathered, held, total = [], _Held(), 0
+            if gathered:
+                yield from scored(gathered, held)
+        finally:
+            held.close()
+
     return run
 
 

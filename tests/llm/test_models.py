@@ -42,6 +42,30 @@ def test_shards_change_nothing(spark):
     assert a == b
 
 
+def test_a_task_goes_through_the_model_once(spark, monkeypatch):
+    """However many chunks of texts it has; held n-grams, those put aside and several passes give the same scores."""
+    df = odd_docs(spark, [prose(i, 300) for i in range(30)])
+    model = lm.train(df, segment_bytes=4000, shard_bytes=5000)
+    want = sorted(map(tuple, lm.score(df, model).collect()), key=str)
+    batches = df.selectExpr("cast(doc_id as long) doc_id", "false held_out", "coalesce(text, '') text").toArrow().to_batches(max_chunksize=4)
+    loads, files, load, opened = [], [], lm.Shard.__init__, pq.ParquetFile
+    monkeypatch.setattr(lm.Shard, "__init__", lambda self, *args: (loads.append(args[1:]), load(self, *args))[1])
+    monkeypatch.setattr(lm.pq, "ParquetFile", lambda source: (files.append(source), opened(source))[1])
+    monkeypatch.setattr(lm, "_CHUNK_TOKENS", 500)
+    for held, group in ((96 << 20, 1 << 26), (0, 1 << 26), (20_000, 1 << 26), (0, 2000)):
+        monkeypatch.setattr(lm, "_HELD_BYTES", held)
+        monkeypatch.setattr(lm, "_GROUP_TOKENS", group)
+        lm._RESIDENT.clear()
+        loads.clear(), files.clear()
+        got = [tuple(r.values()) for b in lm._score(model, 20.0)(iter(batches)) for r in b.to_pylist()]
+        assert sorted(got, key=str) == want
+        if group == 1 << 26:
+            assert len(got) > 1 and sorted(loads) == sorted(model.shards) and len(model.shards) > 3
+            assert len(files) <= model.segments  # no other file is opened, not even for its footer
+        else:
+            assert len(loads) > len(model.shards)
+
+
 def test_filter_never_counts_too_little_and_seldom_too_much():
     rng = np.random.default_rng(1)
     keys, counts = rng.integers(0, 2**64, 40_000, dtype=np.uint64), rng.geometric(0.05, 40_000)
